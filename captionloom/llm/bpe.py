@@ -28,6 +28,8 @@ from captionloom.llm.common import safe_name
 
 #: Characters after which a long text is cut at its next safe boundary.
 PIECE_CHARS = 50_000
+#: Rows that a worker turns over at once.
+SLICE_ROWS = 256
 _SAFE = regex.compile(r"(?<=[0-9A-Za-z])(?=[ \n][A-Za-z])|(?<=[A-Za-z])(?=[.,;:!?])|(?<=[一-鿿])(?=[、。，！？])")
 
 
@@ -69,6 +71,13 @@ def unpack(packed: bytes | None) -> list[int]:
     return np.frombuffer(packed or b"", "<u4").tolist()
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, so that ids as Python numbers and copies of texts stay small."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(lo, SLICE_ROWS)
+
+
 def _appended(df: DataFrame, names: list[tuple[str, T.DataType]]) -> T.StructType:
     return T.StructType(df.schema.fields + [T.StructField(n, t) for n, t in names])
 
@@ -79,10 +88,10 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(rank_file, pattern)
-        for batch in batches:
-            got = [encode_text(enc, t, piece_chars) for t in batch.column(text_col).to_pylist()]
+        for batch in _sliced(batches):
+            got = [pack(encode_text(enc, t, piece_chars)) for t in batch.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([pack(x) for x in got], pa.binary()), pa.array([len(x) for x in got], pa.int64())],
+                [*batch.columns, pa.array(got, pa.binary()), pa.array([len(x) // 4 for x in got], pa.int64())],
                 names=[*batch.schema.names, ids_col, count_col],
             )
 
@@ -95,7 +104,7 @@ def decode(tokens: DataFrame, rank_file: str, pattern: str, ids_col: str = "toke
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(rank_file, pattern)
-        for batch in batches:
+        for batch in _sliced(batches):
             got = [enc.decode_bytes(unpack(x)) for x in batch.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.binary())], names=[*batch.schema.names, bytes_col])
 
