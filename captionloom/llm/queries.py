@@ -8,12 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from captionloom.llm import bpe, decontamination, exact_dedup, language_id, language_model, line_dedup, near_dedup, sharding, toxicity
+from captionloom.llm import bpe, decontamination, exact_dedup, html_extraction, language_id, language_model, line_dedup, near_dedup, sharding, toxicity
 from captionloom.llm.common import crc_of_id, read
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_extraction.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held_out = F.pmod(crc_of_id(), F.lit(4)) == 2
@@ -102,7 +107,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_id, op3_language_model, op4_line_dedup, op5_byte_bpe, op6_decontamination, op7_toxicity, op8_sharding, op9_exact_dedup, op10_minhash_near_dedup)}
+    return {f.__name__: f for f in (op1_html_extraction, op2_language_id, op3_language_model, op4_line_dedup, op5_byte_bpe, op6_decontamination, op7_toxicity, op8_sharding, op9_exact_dedup, op10_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
