@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,4 +68,11 @@ def safe_name(df: DataFrame, name: str) -> str:
     return name
 
 
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+#: Most ids that are broadcast to drop their rows (some bytes each); beyond it both sides are shuffled.
+BROADCAST_IDS = 100_000
+
+
+def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Rows whose id is not listed; rows with a null id stay."""
+    ids = settle(ids.select(id_col).where(F.col(id_col).isNotNull()).distinct())
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, id_col, "left_anti")
