@@ -3,32 +3,23 @@
 from __future__ import annotations
 
 import math
-import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from captionloom.operators.lineage import settle, ship
+
+__all__ = ["BROADCAST_IDS", "SALTS", "ascii_lower", "crc_of_id", "default_parallelism", "parts_for", "read", "safe_name", "salt_of", "salted", "settle", "ship", "shuffle_parts", "without"]
+
 #: Rounds of salt for groups that may hold a large share of all rows.
 SALTS = 32
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that spark.checkpoint.dir names.
-
-    A folder of our own is set only where the session names none, as in tests.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        own = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(own or tempfile.mkdtemp(prefix="captionloom-checkpoint-"))
-    return df.checkpoint(eager=True)
-
-
 def crc_of_id(id_col: str = "doc_id") -> Column:
     """crc32 of the id written as text; null ids count as the empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
