@@ -1,7 +1,6 @@
 """Line dedup by a segment-partition edit join, in DataFrame expressions alone.
 
-Lines are compared in a normal form (lower case, runs of digits as one 0, white space as single
-spaces, trimmed). Distinct forms enter the join once, however often they occur. For an edit
+Lines are compared in a normal form (lower case, white space as single spaces, trimmed). Distinct forms enter the join once, however often they occur. For an edit
 threshold of one, a form of length n is split into two segments: a form within one edit, of length
 n or n + 1, has one of them unchanged at the place that its length tells, so it is found by a
 substring index over (length, segment, substring).
@@ -36,8 +35,12 @@ THRESHOLD, MIN_CHARS, PARTS, KEY_PAIRS = 1, 30, 4, 40
 BROADCAST_KEYS = 100_000
 
 
-def normal_form(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), "[0-9]+", "0"), r"\s+", " "))
+def normal_lines(text: Column) -> Column:
+    """The text's lines in their normal form. The text is normalised as a whole, and the costly pattern
+    runs only where something needs it."""
+    low = F.lower(text)
+    odd = F.contains(low, F.lit("  ")) | F.contains(low, F.lit("\t")) | F.contains(low, F.lit("\r"))
+    return F.split(F.when(odd, F.regexp_replace(low, r"[ \t\r\f\x0B]+", " ")).otherwise(low), "\n")
 
 
 def edit_distance(a: Column, b: Column, threshold: int = THRESHOLD) -> Column:
@@ -51,11 +54,12 @@ def edit_distance(a: Column, b: Column, threshold: int = THRESHOLD) -> Column:
     full = (1 << width) - 1
     # Rows above the first count down to it, rows below count up.
     above = (1 << threshold) - 1
-    p, t = F.split(a, ""), F.split(b, "")
-    gap = F.length(b) - F.length(a)
-    start = F.struct(F.lit(full & ~above).alias("vp"), F.lit(above).alias("vn"), gap.alias("d"))
 
-    def matches(s: Column, j: Column) -> Column:
+    def let(value: Column, body) -> Column:
+        """Names a value, so that it is worked out once."""
+        return F.get(F.transform(F.array(value), body), F.lit(0))
+
+    def matches(s: Column, j: Column, p: Column, t: Column) -> Column:
         c, hits = F.get(t, j - 1), F.lit(0)
         for k in range(width):
             row = j - threshold + k
@@ -67,7 +71,7 @@ def edit_distance(a: Column, b: Column, threshold: int = THRESHOLD) -> Column:
         d0 = carry.bitwiseOR(s["m"]).bitwiseOR(s["vn"]).bitwiseAND(F.lit(full))
         return F.struct(d0.alias("d0"), s["vp"].alias("vp"), s["vn"].alias("vn"), s["d"].alias("d"))
 
-    def advance(s: Column, j: Column) -> Column:
+    def advance(s: Column, j: Column, gap: Column) -> Column:
         hp = s["vn"].bitwiseOR(F.lit(full) - s["d0"].bitwiseOR(s["vp"]))
         hn = s["d0"].bitwiseAND(s["vp"])
         down = F.shiftright(s["d0"], 1)
@@ -75,14 +79,14 @@ def edit_distance(a: Column, b: Column, threshold: int = THRESHOLD) -> Column:
         same = F.call_function("shiftright", s["d0"], F.lit(threshold) - gap).bitwiseAND(F.lit(1))
         return F.struct(vp.alias("vp"), down.bitwiseAND(hp).alias("vn"), (s["d"] + F.when(j > gap, 1 - same).otherwise(0)).alias("d"))
 
-    def let(value: Column, body) -> Column:
-        """Names a value, so that the expression holds it once."""
-        return F.get(F.transform(F.array(value), body), F.lit(0))
-
-    def step(s: Column, j: Column) -> Column:
-        return let(matches(s, j), lambda x: let(diagonals(x), lambda y: advance(y, j)))
+    def fold(x: Column) -> Column:
+        gap = x["n"] - x["m"]
+        start = F.struct(F.lit(full & ~above).alias("vp"), F.lit(above).alias("vn"), gap.alias("d"))
+        step = lambda s, j: let(matches(s, j, x["p"], x["t"]), lambda y: let(diagonals(y), lambda z: advance(z, j, gap)))
+        return F.aggregate(F.sequence(F.lit(1), x["n"]), start, step, lambda s: s["d"])
 
-    return F.when(F.length(b) == 0, gap).otherwise(F.aggregate(F.sequence(F.lit(1), F.length(b)), start, step, lambda s: s["d"]))
+    own = F.struct(F.split(a, "").alias("p"), F.split(b, "").alias("t"), F.length(a).alias("m"), F.length(b).alias("n"))
+    return F.when(F.length(b) == 0, F.lit(0)).otherwise(let(own, fold))
 
 
 def _block_key(form: Column, size: Column, n: Column, lo: Column, hi: Column) -> Column:
@@ -168,7 +172,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     names = {n: safe_name(docs, n) for n in ("lines", "exact_dropped", "near_dropped", "line_kept")}
     row = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     lean = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), row.alias("row"), F.col(text_col).alias("text"))
-    each = lean.select("id", "row", F.posexplode(F.split("text", "\n")).alias("at", "raw")).select("id", "row", "at", normal_form(F.col("raw")).alias("form"))
+    each = lean.select("id", "row", F.posexplode(normal_lines(F.col("text"))).alias("at", "raw")).select("id", "row", "at", F.trim("raw").alias("form"))
     each = each.where(F.length("form") >= min_chars).withColumn("line", F.struct(F.xxhash64("form").alias("h"), F.xxhash64(F.lit(9), "form").alias("g")))
     occurrences = settle(each.select("id", "row", "at", "line", _first_members(F.col("form"), F.length("form")).alias("members")))
     lines = occurrences.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "row", "at")).alias("first"), F.first("members").alias("members"))

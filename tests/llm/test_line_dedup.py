@@ -8,7 +8,7 @@ from tests.llm.helpers import docs
 
 
 def form(line):
-    return re.sub(r"\s+", " ", re.sub("[0-9]+", "0", line.lower())).strip(" ")
+    return re.sub(r"[ \t\r\f\v]+", " ", line.lower()).strip(" ")
 
 
 def distance(a, b):
