@@ -61,9 +61,12 @@ def all_tags(*scored: Column) -> Column:
 
 def scores_map(*scored: Column) -> Column:
     """tag to score over all categories; of a tag in several the last category's score counts, in the place of the first."""
-    pairs = F.concat(*scored)
-    firsts = F.array_distinct(names(pairs))
-    return F.transform(firsts, lambda t: F.struct(t.alias("tag"), F.element_at(F.filter(pairs, lambda x: x["tag"] == t), -1)["score"].alias("score")))
+    def merge(pairs: Column) -> Column:
+        last = lambda t: F.element_at(F.filter(pairs, lambda x: x["tag"] == t), -1)["score"]
+        return F.transform(F.array_distinct(names(pairs)), lambda t: F.struct(t.alias("tag"), last(t).alias("score")))
+
+    # A one-element array names the joined list, so that it is built once.
+    return F.get(F.transform(F.array(F.concat(*scored)), merge), F.lit(0))
 
 
 def rounded(scored: Column, digits: int = 4) -> Column:

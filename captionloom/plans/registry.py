@@ -2,27 +2,43 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+_MODULES = ("audit", "parse", "route", "prompt", "tag", "rate", "caption")
 
-def _audit_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    size = F.length("text")
-    status = F.when(size < 100, "too_short").when(size > 2000, "too_long").otherwise("success")
-    return docs.select("lang", status.alias("status"), size.alias("n")).groupBy("lang", "status").agg(F.count("*").alias("rows"), F.min("n").alias("shortest"), F.max("n").alias("longest"))
 
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a function under its name, with its SQL if there is some."""
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"audit_captions": _audit_captions}
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _load() -> None:
+    for name in _MODULES:
+        importlib.import_module(f"captionloom.plans.queries_{name}")
+
+
+def queries() -> dict[str, Query]:
+    _load()
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "audit_captions": """
-            SELECT lang, CASE WHEN length(text) < 100 THEN 'too_short' WHEN length(text) > 2000 THEN 'too_long' ELSE 'success' END AS status,
-                   count(*) AS "rows", min(length(text)) AS shortest, max(length(text)) AS longest
-            FROM documents GROUP BY 1, 2"""
-    }
+    _load()
+    return dict(_SQL)
