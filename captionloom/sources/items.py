@@ -48,7 +48,7 @@ def first_items(items: DataFrame, n: int | None, key: str = "image_id") -> DataF
 def read_sidecars(spark: SparkSession, root: str, suffix: str = ".tag.json", schema: T.StructType | str | None = None) -> DataFrame:
     """One row for each readable sidecar: path, image_id and its JSON (columns under a schema, else the text); unreadable ones are left out."""
     if schema is None:
-        files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").text(root)
+        files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}")
         files = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("json")).where(F.try_parse_json("json").isNotNull())
     else:
         own = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
@@ -74,8 +74,8 @@ def url_lines(text: Column) -> Column:
 
 def read_url_lists(spark: SparkSession, path: str) -> DataFrame:
     """file, position (from 1, among kept lines) and url of a .txt file or of all in a folder."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").text(path)
-    return files.select(F.col("_metadata.file_name").alias("file"), F.explode(url_lines(F.col("value"))).alias("line")).select("file", "line.position", "line.url")
+    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt")
+    return files.select(F.col("_metadata.file_name").alias("file"), F.inline(url_lines(F.col("value"))))
 
 
 def read_request_log(spark: SparkSession, path: str) -> DataFrame:
