@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
@@ -36,4 +37,15 @@ def settle(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         own = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(own or tempfile.mkdtemp(prefix="captionloom-checkpoint-"))
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)._jdf
+    # A checkpoint keeps the size that its plan was guessed to have. Over rounds of joins these guesses multiply into
+    # numbers that take longer to compute than the query, so the rows start again without one.
+    fresh = spark._jsparkSession.internalCreateDataFrame(done.queryExecution().toRdd(), done.schema(), False)
+    return DataFrame(fresh, spark)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files and checkpoints that nothing refers to any more, as a round of an iterative job
+    ends; by itself it waits until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -9,8 +9,9 @@ from captionloom.functions.textops import fixed
 from captionloom.operators.lineage import settle
 
 
-def _seconds(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp")) / 1e6
+def _micros(ts: Column) -> Column:
+    """Whole microseconds, so that differences are exact."""
+    return F.unix_micros(ts.cast("timestamp"))
 
 
 def speed(ticks: DataFrame, ts: str, *order: str, by: tuple[str, ...] = (), last: int = 20, weight: str | None = None) -> DataFrame:
@@ -19,9 +20,9 @@ def speed(ticks: DataFrame, ts: str, *order: str, by: tuple[str, ...] = (), last
     Without weights n ticks are n - 1 items; with weights the first tick's items do not count.
     """
     frame = Window.partitionBy(*by).orderBy(ts, *order).rowsBetween(1 - last, 0)
-    at = _seconds(F.col(ts))
+    at = _micros(F.col(ts))
     done = F.count(F.lit(1)).over(frame) - 1 if weight is None else F.sum(weight).over(frame) - F.first_value(weight).over(frame)
-    passed = F.max(at).over(frame) - F.min(at).over(frame)
+    passed = (F.max(at).over(frame) - F.min(at).over(frame)) / 1e6
     rate = F.when((F.count(F.lit(1)).over(frame) < 2) | (passed <= 0), F.lit(0.0)).otherwise(F.try_divide(done.cast("double"), passed))
     return ticks.withColumn("rate", rate)
 
