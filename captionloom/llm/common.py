@@ -7,9 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from captionloom.operators.lineage import settle, ship
+from captionloom.operators.lineage import release, settle, ship
 
-__all__ = ["BROADCAST_IDS", "SALTS", "ascii_lower", "crc_of_id", "default_parallelism", "parts_for", "read", "safe_name", "salt_of", "salted", "settle", "ship", "shuffle_parts", "without"]
+__all__ = ["BROADCAST_IDS", "SALTS", "ascii_lower", "crc_of_id", "default_parallelism", "parts_for", "read", "release", "safe_name", "salt_of", "salted", "settle", "ship", "shuffle_parts", "sliced", "without"]
 
 #: Rounds of salt for groups that may hold a large share of all rows.
 SALTS = 32
@@ -39,6 +39,13 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def sliced(batches, rows: int = 256):
+    """Few rows of an Arrow batch at a time, so that their Python copies stay small."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def parts_for(rows: int, per_part: int) -> int:
     return max(1, math.ceil(rows / per_part))
 

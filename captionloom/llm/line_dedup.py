@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from captionloom.llm.common import safe_name, settle
+from captionloom.llm.common import release, safe_name, settle
 
 #: Edits; shortest form that is judged; parts into which a hot key's block is split at a time; pairs that a key may make unsplit.
 THRESHOLD, MIN_CHARS, PARTS, KEY_PAIRS = 1, 30, 4, 40
@@ -105,13 +105,23 @@ def _blocks(n: Column, lo: Column, hi: Column, parts: int) -> list[tuple[Column,
     return list(zip(cut, cut[1:], strict=False))
 
 
-def _first_members(form: Column, size: Column) -> Column:
-    """A form stands in the partition for its own length (role 0) and in the one for forms a character shorter (role 1)."""
-    out = []
-    for role in (0, 1):
-        n = size - role
-        out += [_member(role, n, lo, hi, _block_key(form, size, n, lo, hi)) for lo, hi in _blocks(n, F.lit(0), n, THRESHOLD + 1)]
-    return F.array(*out)
+def _first_blocks(size: Column) -> list[tuple[int, Column, Column, Column]]:
+    """(role, n, lo, hi) of a form of that size: it stands in the partition for its own length (role 0) and in the
+    one for forms a character shorter (role 1)."""
+    return [(role, size - role, lo, hi) for role in (0, 1) for lo, hi in _blocks(size - role, F.lit(0), size - role, THRESHOLD + 1)]
+
+
+def first_keys(form: Column) -> dict[str, Column]:
+    """The size and the keys of a form's first blocks; a member's other parts follow from the size."""
+    size = F.length(form)
+    return {"size": size} | {f"key{k}": _block_key(form, size, n, lo, hi) for k, (_, n, lo, hi) in enumerate(_first_blocks(size))}
+
+
+KEY_NAMES = ["size", *(f"key{k}" for k in range(2 * (THRESHOLD + 1)))]
+
+
+def _first_members() -> Column:
+    return F.array(*[_member(role, n, lo, hi, F.col(f"key{k}")) for k, (role, n, lo, hi) in enumerate(_first_blocks(F.col("size")))])
 
 
 def _finer_members() -> Column:
@@ -137,11 +147,19 @@ def _sizes(members: DataFrame) -> DataFrame:
     return sizes.where("own > 0 AND all > 1").withColumn("hot", F.col("own") * F.col("all") > KEY_PAIRS)
 
 
-def near_pairs(lines: DataFrame, texts_of) -> DataFrame:
-    """Links (a, b) between lines within one edit; `lines` has line (key) and members, texts_of(keys) gives (line, form)."""
-    members = lines.select("line", F.explode("members").alias("m")).select("line", "m.*")
+def _met(members: DataFrame) -> DataFrame:
+    """Members whose key another line shares."""
     sizes = settle(_sizes(members))
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_KEYS else sizes
     met = settle(members.join(sizes, "key").select("line", "role", "n", "lo", "hi", "key", "hot"))
+    release(met.sparkSession)
+    return met
+
+
+def near_pairs(lines: DataFrame, texts_of) -> DataFrame:
+    """Links (a, b) between lines within one edit; `lines` has line and first_keys(), texts_of(keys) gives (line, form)."""
+    members = lines.select("line", F.explode(_first_members()).alias("m")).select("line", "m.*")
+    met = _met(members)
     forms = settle(texts_of(met.select("line").distinct()))
     found = [settle(_pairs(met, met.where("NOT hot").select("key").distinct()))]
     hot = met.where("hot")
@@ -151,9 +169,7 @@ def near_pairs(lines: DataFrame, texts_of) -> DataFrame:
         if not done.isEmpty():
             found.append(settle(_pairs(done, done.select("key").distinct())))
         finer = hot.where("hi - lo > 1").join(forms, "line").select("line", F.explode(_finer_members()).alias("m")).select("line", "m.*").distinct()
-        finer = settle(finer)
-        sizes = settle(_sizes(finer))
-        met = settle(finer.join(sizes, "key").select("line", "role", "n", "lo", "hi", "key", "hot"))
+        met = _met(settle(finer))
         found.append(settle(_pairs(met, met.where("NOT hot").select("key").distinct())))
         hot = met.where("hot")
     pairs = found[0]
@@ -166,34 +182,53 @@ def near_pairs(lines: DataFrame, texts_of) -> DataFrame:
     return near.where(edit_distance(F.col("low"), F.col("high")) <= THRESHOLD).select("a", "b")
 
 
+def _forms(texts: DataFrame, min_chars: int) -> DataFrame:
+    """(id, row, at, form, line) of the judged lines; `line` tells forms apart by 128 bits."""
+    each = texts.select("id", "row", F.posexplode(normal_lines(F.col("text"))).alias("at", "raw")).select("id", "row", "at", F.trim("raw").alias("form"))
+    return each.where(F.length("form") >= min_chars).withColumn("line", F.struct(F.xxhash64("form").alias("h"), F.xxhash64(F.lit(9), "form").alias("g")))
+
+
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
-    """The documents with repeated lines taken out of the text, and the columns lines, exact_dropped,
-    near_dropped (counts) and line_kept (false where all the text went)."""
-    names = {n: safe_name(docs, n) for n in ("lines", "exact_dropped", "near_dropped", "line_kept")}
+    """The documents with repeated lines taken out of the text, and the columns lines, exact_dropped, near_dropped
+    (counts), line_kept (false where all the text went), n_links (near links that its lines' forms have) and class_id (the
+    smallest id, its own included, in which one of its dropped lines or a form near to it first occurs)."""
+    names = {n: safe_name(docs, n) for n in ("lines", "exact_dropped", "near_dropped", "line_kept", "n_links", "class_id")}
     row = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     lean = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), row.alias("row"), F.col(text_col).alias("text"))
-    each = lean.select("id", "row", F.posexplode(normal_lines(F.col("text"))).alias("at", "raw")).select("id", "row", "at", F.trim("raw").alias("form"))
-    each = each.where(F.length("form") >= min_chars).withColumn("line", F.struct(F.xxhash64("form").alias("h"), F.xxhash64(F.lit(9), "form").alias("g")))
-    occurrences = settle(each.select("id", "row", "at", "line", _first_members(F.col("form"), F.length("form")).alias("members")))
-    lines = occurrences.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "row", "at")).alias("first"), F.first("members").alias("members"))
+    each = _forms(lean, min_chars)
+    occurrences = settle(each.select("id", "row", "at", "line", *[c.alias(n) for n, c in first_keys(F.col("form")).items()]))
+    lines = occurrences.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "row", "at")).alias("first"), *[F.first(n).alias(n) for n in KEY_NAMES])
     lines = settle(lines)
 
-    def texts_of(keys: DataFrame) -> DataFrame:
-        few = keys.count() <= BROADCAST_KEYS
-        return each.select("line", "form").join(F.broadcast(keys) if few else keys, "line", "left_semi").dropDuplicates(["line"])
+    release(docs.sparkSession)
 
-    links = settle(near_pairs(lines.select("line", "members"), texts_of))
+    def texts_of(keys: DataFrame) -> DataFrame:
+        # A form is read again from the document of its first occurrence; other documents are not split again.
+        places = settle(lines.select("line", "first.*").join(keys, "line", "left_semi"))
+        few = places.count() <= BROADCAST_KEYS
+        own = places.select("id", "row").distinct()
+        again = lean.join(F.broadcast(own) if few else own, (lean["id"].eqNullSafe(own["id"])) & (lean["row"] == own["row"]), "left_semi")
+        found = _forms(again, min_chars)
+        return found.join(F.broadcast(places.select("line")) if few else places.select("line"), "line", "left_semi").select("line", "form").dropDuplicates(["line"])
+
+    links = settle(near_pairs(lines.select("line", *KEY_NAMES), texts_of))
+    release(docs.sparkSession)
     firsts = lines.select("line", "first")
     both = links.join(firsts.select(F.col("line").alias("a"), F.col("first").alias("fa")), "a").join(firsts.select(F.col("line").alias("b"), F.col("first").alias("fb")), "b")
-    later = both.select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("line")).distinct().withColumn("near", F.lit(True))
-    judged = lines.select("line", "n", "first").join(later, "line", "left").where("n > 1 OR near").select("line", "first", F.coalesce("near", F.lit(False)).alias("near"))
+    ends = both.select(F.explode(F.array(F.struct(F.col("a").alias("line"), F.col("fa").alias("own"), F.col("fb").alias("other")), F.struct(F.col("b").alias("line"), F.col("fb").alias("own"), F.col("fa").alias("other")))).alias("e")).select("e.*")
+    near = ends.groupBy("line").agg(F.count(F.lit(1)).alias("links"), F.min("other").alias("earliest"))
+    judged = lines.select("line", "n", "first").join(near, "line", "left").where("n > 1 OR links > 0")
+    judged = judged.select("line", "first", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce(F.col("earliest") < F.col("first"), F.lit(False)).alias("near"), F.coalesce(F.least("earliest", "first"), F.col("first"))["id"].alias("origin"))
     # A line that very many rows share is a skewed key here; its rows are narrow, and split as the join runs.
-    gone = occurrences.select("id", "row", "at", "line").distinct().join(judged, "line").where(F.col("near") | (F.struct("id", "row", "at") != F.col("first")))
-    per_doc = gone.groupBy("id", "row").agg(F.collect_list(F.struct("at", "near")).alias("gone"))
-    out = docs.withColumn("__row", row).join(per_doc.select(F.col("id").alias("__id"), F.col("row").alias("__own"), F.col("gone").alias("__gone")), (F.col(id_col).eqNullSafe(F.col("__id"))) & (F.col("__row") == F.col("__own")), "left")
+    hits = occurrences.select("id", "row", "at", "line").join(judged, "line").withColumn("dropped", F.col("near") | (F.struct("id", "row", "at") != F.col("first")))
+    # Rows with the same id and text come as one group here; their places are the same, and count once.
+    own = F.array_distinct(F.collect_list(F.struct("at", "near", "dropped", "links")))
+    per_doc = hits.groupBy("id", "row").agg(own.alias("hits"), F.min(F.when(F.col("dropped"), F.col("origin"))).alias("origin"))
+    per_doc = per_doc.select(F.col("id").alias("__id"), F.col("row").alias("__own"), F.filter("hits", lambda x: x["dropped"]).alias("__gone"), F.aggregate("hits", F.lit(0).cast("long"), lambda n, x: n + x["links"]).alias("__links"), F.col("origin").alias("__origin"))
+    out = docs.withColumn("__row", row).join(per_doc, (F.col(id_col).eqNullSafe(F.col("__id"))) & (F.col("__row") == F.col("__own")), "left")
     places = F.transform("__gone", lambda x: x["at"])
     left = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains(F.col("__places"), i)), "\n")
-    changed = F.col("__gone").isNotNull()
+    changed = F.coalesce(F.size("__gone") > 0, F.lit(False))
     out = out.withColumn("__places", places).withColumn("__left", F.when(changed, left).otherwise(F.col(text_col)))
     count = lambda near: F.coalesce(F.size(F.filter("__gone", lambda x: x["near"] == near)), F.lit(0)).cast("long")
     keep = [F.col("__left").alias(c) if c.lower() == text_col.lower() else F.col(f"`{c}`") for c in docs.columns]
@@ -203,4 +238,6 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.when(changed, count(False)).otherwise(0).cast("long").alias(names["exact_dropped"]),
         F.when(changed, count(True)).otherwise(0).cast("long").alias(names["near_dropped"]),
         (~changed | (F.length(F.trim(F.col("__left"))) > 0)).alias(names["line_kept"]),
+        F.coalesce("__links", F.lit(0)).cast("long").alias(names["n_links"]),
+        F.least(F.col(id_col), F.col("__origin")).alias(names["class_id"]),
     )

@@ -45,6 +45,21 @@ def brute(rows, least):
     return out
 
 
+def classes_and_links(rows, least):
+    """For each document: the smallest id in which a dropped line, or a form near to it, first occurs; its lines' near links."""
+    first, own = {}, {}
+    for i, text in sorted(rows, key=lambda r: r[0]):
+        own[i] = [(at, form(x)) for at, x in enumerate((text or "").split("\n")) if len(form(x)) >= least]
+        for at, f in own[i]:
+            first.setdefault(f, (i, at))
+    near = {a: [b for b in first if b != a and abs(len(a) - len(b)) <= 1 and distance(a, b) <= 1] for a in first}
+    classes, links = {}, {}
+    for i, forms in own.items():
+        origins = [min([first[f], *[first[b] for b in near[f]]])[0] for at, f in forms if first[f] != (i, at) or any(first[b] < first[f] for b in near[f])]
+        classes[i], links[i] = min([i, *origins]), sum(len(near[f]) for _, f in forms)
+    return classes, links
+
+
 def result(df):
     return {r.doc_id: (r.text, r.exact_dropped, r.near_dropped) for r in df.collect()}
 
@@ -79,7 +94,10 @@ def test_against_brute_force(spark):
             own.append("".join(line))
         rows.append((i, "\n".join(own)))
     rows += [(900, None), (901, ""), (902, "\n\n"), (903, lines[0] + "\n" + "y" * 60_000), (904, "y" * 60_000)]
-    assert result(ld.line_dedup(docs(spark, rows), min_chars=8)) == brute(rows, 8)
+    out = ld.line_dedup(docs(spark, rows), min_chars=8)
+    assert result(out) == brute(rows, 8)
+    classes, links = classes_and_links(rows, 8)
+    assert {r.doc_id: (r.class_id, r.n_links) for r in out.collect()} == {i: (classes[i], links[i]) for i, _ in rows}
 
 
 def test_a_hot_line_with_many_variants(spark):
