@@ -82,20 +82,27 @@ def _appended(df: DataFrame, names: list[tuple[str, T.DataType]]) -> T.StructTyp
     return T.StructType(df.schema.fields + [T.StructField(n, t) for n, t in names])
 
 
-def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text", ids_col: str = "token_ids", count_col: str = "n_tokens", piece_chars: int = PIECE_CHARS) -> DataFrame:
-    """Adds packed ids (binary) and their number; columns of these names that exist already are replaced."""
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in (ids_col.lower(), count_col.lower())])
+def encode(
+    docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text", ids_col: str = "token_ids", count_col: str = "n_tokens", decoded_col: str | None = None, keep_text: bool = True, piece_chars: int = PIECE_CHARS
+) -> DataFrame:
+    """Adds packed ids (binary) and their number, and, if asked for, the raw bytes decoded from the ids in the same pass;
+    columns of these names that exist already are replaced. The text may be left out of the result."""
+    new = [(ids_col, T.BinaryType(), pa.binary()), (count_col, T.LongType(), pa.int64())]
+    if decoded_col:
+        new.append((decoded_col, T.BinaryType(), pa.binary()))
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in {n.lower() for n, _, _ in new}])
+    kept = [c for c in docs.columns if keep_text or c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(rank_file, pattern)
         for batch in _sliced(batches):
             got = [pack(encode_text(enc, t, piece_chars)) for t in batch.column(text_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(got, pa.binary()), pa.array([len(x) // 4 for x in got], pa.int64())],
-                names=[*batch.schema.names, ids_col, count_col],
-            )
+            made = [got, [len(x) // 4 for x in got]]
+            if decoded_col:
+                made.append([enc.decode_bytes(unpack(x)) for x in got])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *[pa.array(x, kind) for x, (_, _, kind) in zip(made, new, strict=True)]], names=[*kept, *[n for n, _, _ in new]])
 
-    return docs.mapInArrow(run, _appended(docs, [(ids_col, T.BinaryType()), (count_col, T.LongType())]))
+    return docs.mapInArrow(run, T.StructType([docs.schema[c] for c in kept] + [T.StructField(n, t) for n, t, _ in new]))
 
 
 def decode(tokens: DataFrame, rank_file: str, pattern: str, ids_col: str = "token_ids", bytes_col: str = "decoded") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from captionloom.operators.lineage import release, settle, ship
 
-__all__ = ["BROADCAST_IDS", "SALTS", "ascii_lower", "crc_of_id", "default_parallelism", "parts_for", "read", "release", "safe_name", "salt_of", "salted", "settle", "ship", "shuffle_parts", "sliced", "without"]
+__all__ = ["BROADCAST_IDS", "SALTS", "crc_of_id", "parts_for", "read", "release", "safe_name", "salt_of", "salted", "settle", "ship", "sliced", "without"]
 
 #: Rounds of salt for groups that may hold a large share of all rows.
 SALTS = 32
@@ -34,11 +34,6 @@ def salted(df: DataFrame) -> DataFrame:
     return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
-def ascii_lower(col: Column) -> Column:
-    """Lower-case A-Z alone."""
-    return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def sliced(batches, rows: int = 256):
     """Few rows of an Arrow batch at a time, so that their Python copies stay small."""
     for batch in batches:
@@ -50,14 +45,6 @@ def parts_for(rows: int, per_part: int) -> int:
     return max(1, math.ceil(rows / per_part))
 
 
-def shuffle_parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return max(1, spark.sparkContext.defaultParallelism)
-
-
 def safe_name(df: DataFrame, name: str) -> str:
     """A column name that the table does not have, whatever its letters' case."""
     taken = {c.lower() for c in df.columns}

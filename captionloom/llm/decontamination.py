@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from captionloom.llm.common import settle
+from captionloom.llm.common import settle, sliced
 
 #: Words of a window; text bytes of an index block; text bytes of a block of test items.
 WINDOW, BLOCK_BYTES, QUERY_BYTES = 13, 8_000_000, 2_000_000
@@ -70,12 +70,10 @@ class Postings:
 
     @classmethod
     def of(cls, texts: list[str | None]) -> Postings:
-        every, lengths = [], np.zeros(len(texts), np.int64)
-        for k, text in enumerate(texts):
-            own = words(text)
-            lengths[k] = len(own)
-            every += own
-        h = hashed(every)
+        # Words become hashes one document at a time, so that a block's words are never held together.
+        each = [hashed(words(text)) for text in texts]
+        lengths = np.fromiter(map(len, each), np.int64, len(each))
+        h = np.concatenate([np.zeros(0, np.uint64), *each])
         order = np.argsort(h, kind="stable")
         terms, counts = np.unique(h[order], return_counts=True)
         return cls(terms, counts.astype(np.uint32), order.astype(np.uint32), lengths)
@@ -186,7 +184,7 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
             own = pa.schema([("block", pa.string()), ("ids", pa.list_(id_type)), ("lengths", pa.list_(pa.int32())), ("terms", pa.binary()), ("counts", pa.binary()), ("positions", pa.binary())])
             return pa.RecordBatch.from_pylist([row], schema=own)
 
-        for batch in batches:
+        for batch in sliced(batches):
             id_type = batch.schema.field(0).type
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids.append(i)

@@ -41,7 +41,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     path, pattern = public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN
-    out = bpe.decode(bpe.encode(docs, path, pattern).drop("text"), path, pattern)
+    out = bpe.encode(docs, path, pattern, decoded_col="decoded", keep_text=False)
     return out.select(
         "doc_id",
         "n_tokens",

@@ -18,24 +18,26 @@ from __future__ import annotations
 
 import pickle
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from captionloom.llm.common import safe_name
+from captionloom.llm.common import safe_name, sliced
 
 TRAIN_DOCS, LEAST_DOCS, STEPS, RATE, L1 = 2500, 3, 200, 0.1, 2e-4
 #: Features must differ between the labels by this many standard errors to be learnt; words that a worker remembers.
-SCREEN_Z, CACHE_WORDS = 2.0, 300_000
+SCREEN_Z, CACHE_WORDS = 2.0, 150_000
 #: Bytes of the beginnings of words that are features.
 PREFIXES = range(4, 10)
 _END = b"\x01"
+_NONE: list[int] = []
 _UPPER = bytes(range(65, 91))
 _TABLE = bytes(1 if b in b".!?\n" else b + 32 if b in _UPPER else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -97,29 +99,49 @@ class Model:
         return [(int(k), float(p[k])) for k in np.flatnonzero(p >= least)]
 
 
-def _screened(bags: list[list[bytes]], y: np.ndarray, least_docs: int) -> dict[bytes, int]:
-    """Features in enough documents whose share differs between the labels by SCREEN_Z standard errors."""
-    toxic, clean = Counter(), Counter()
-    for bag, label in zip(bags, y, strict=True):
-        (toxic if label else clean).update({f for w in set(bag) if w != _END for f in features(w)})
+class Packed:
+    """Bags that are kept packed and unpacked one at a time, each time they are gone through."""
+
+    def __init__(self, bags: list[bytes]):
+        self.bags = bags
+
+    def __iter__(self) -> Iterator[list[bytes]]:
+        return (zlib.decompress(b).split() for b in self.bags)
+
+
+def _hashed(words: set[bytes]) -> np.ndarray:
+    own = {f for w in words if w != _END for f in features(w)}
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, own), np.uint64, len(own))
+
+
+def _screened(bags: Iterable[list[bytes]], y: np.ndarray, least_docs: int) -> np.ndarray:
+    """Hashes, in order, of features in enough documents whose share differs between the labels by SCREEN_Z standard errors."""
+    sets = [_hashed(set(bag)) for bag in bags]
+    names, counts = np.unique(np.concatenate(sets), return_counts=True)
+    names, counts = names[counts >= least_docs], counts[counts >= least_docs]
+    toxic = np.zeros(len(names), np.int64)
+    for own, label in zip(sets, y, strict=True):
+        if label and len(names):
+            at = np.searchsorted(names, own)
+            at[at == len(names)] = 0
+            toxic[at[names[at] == own]] += 1
     n1, n0 = y.sum(), len(y) - y.sum()
-    names = sorted(f for f in toxic.keys() | clean.keys() if toxic[f] + clean[f] >= least_docs)
-    t, c = np.array([toxic[f] for f in names], float), np.array([clean[f] for f in names], float)
-    both = (t + c) / len(y)
-    z = (t / n1 - c / n0) / np.sqrt(np.maximum(both * (1 - both), 1e-9) * (1 / n1 + 1 / n0))
-    return {names[k]: n for n, k in enumerate(np.flatnonzero(np.abs(z) >= SCREEN_Z))}
+    both = counts / len(y)
+    z = (toxic / n1 - (counts - toxic) / n0) / np.sqrt(np.maximum(both * (1 - both), 1e-9) * (1 / n1 + 1 / n0))
+    return names[np.abs(z) >= SCREEN_Z]
 
 
-def fit(bags: list[list[bytes]], labels: list[int], steps: int = STEPS, least_docs: int = LEAST_DOCS, l1: float = L1) -> Model:
-    """Trains the weights on the documents' labels: proximal full-batch Adam under an L1 penalty."""
+def fit(bags: Iterable[list[bytes]], labels: list[int], steps: int = STEPS, least_docs: int = LEAST_DOCS, l1: float = L1) -> Model:
+    """Trains the weights on the documents' labels: proximal full-batch Adam under an L1 penalty. The bags are gone
+    through twice."""
     share = float(np.mean(labels)) if labels else 0.0
     if not labels or share in (0.0, 1.0):
         return Model({}, 0.0, share)
     y = np.asarray(labels, float)
-    vocabulary = _screened(bags, y, least_docs)
-    size = len(vocabulary)
+    chosen = set(_screened(bags, y, least_docs).tolist())
+    vocabulary: dict[bytes, int] = {}
     own_features: dict[bytes, list[int]] = {}
-    rows, instance, document, at = [], [], [], 0
+    rows, instance, document, at = array("q"), array("q"), array("q"), 0
     for d, bag in enumerate(bags):
         fresh = True
         for word in bag:
@@ -131,11 +153,12 @@ def fit(bags: list[list[bytes]], labels: list[int], steps: int = STEPS, least_do
                 at, fresh = at + 1, False
             ids = own_features.get(word)
             if ids is None:
-                ids = own_features[word] = [vocabulary[f] for f in features(word) if f in vocabulary]
-            if ids:
-                rows += ids
-                instance += [at - 1] * len(ids)
-    rows, instance, document = (np.asarray(x, np.int64) for x in (rows, instance, document))
+                ids = own_features[word] = [vocabulary.setdefault(f, len(vocabulary)) for f in features(word) if xxhash.xxh3_64_intdigest(f) in chosen] or _NONE
+            for k in ids:
+                rows.append(k)
+                instance.append(at - 1)
+    size = len(vocabulary)
+    rows, instance, document = (np.frombuffer(x, np.int64) if len(x) else np.zeros(0, np.int64) for x in (rows, instance, document))
     w, b = np.zeros(size), -5.0
     m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
     weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)) / len(y)
@@ -170,13 +193,13 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(sample, "id")
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             rows = [zlib.compress(b" ".join(tokens(t)), 1) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(rows, pa.binary())], names=["id", "label", "bag"])
 
     got = texts.mapInArrow(bags, T.StructType([texts.schema["id"], texts.schema["label"], T.StructField("bag", T.BinaryType())])).collect()
     got.sort(key=lambda r: (str(r.id), r.bag))
-    return fit([zlib.decompress(r.bag).split() for r in got], [r.label for r in got])
+    return fit(Packed([bytes(r.bag) for r in got]), [r.label for r in got])
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score", worst_col: str | None = "offending") -> DataFrame:
@@ -192,7 +215,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Model = pickle.loads(sent.value)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(text_col).to_pylist()
             made = [pa.array([own.score(t) for t in texts], pa.float64())]
             if worst_col:
