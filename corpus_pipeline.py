@@ -1,7 +1,8 @@
 """The corpus pipeline: five operators, one after another, each over all that its predecessor kept.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame. run() writes every stage's result as
-Parquet in the shared folder that spark.checkpoint.dir names and reads it again as the next one's input.
+Parquet in the shared folder that spark.checkpoint.dir names and reads it again as the next one's input; only the last
+stage's rows stay, as a checkpoint that Spark deletes with them.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from captionloom.llm import bpe, decontamination, line_dedup, near_dedup, toxicity
-from captionloom.llm.common import crc_of_id, read, without
+from captionloom.llm.common import crc_of_id, read, settle, without
 from captionloom.llm.queries import RANK_FILE
 
 
@@ -46,7 +47,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (packed, little-endian unsigned 32-bit), and digests of them and of the text decoded from them."""
     path, pattern = public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN
-    out = bpe.decode(bpe.encode(docs, path, pattern).drop("text"), path, pattern)
+    out = bpe.encode(docs, path, pattern, decoded_col="decoded", keep_text=False)
     return out.select("doc_id", "lang", "source", "n_chars", "n_tokens", "token_ids", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
@@ -78,4 +79,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if last:
             _delete(spark, last)
         docs, last = spark.read.parquet(path), path
-    return STAGES[-1][1](spark, docs, sf_dir)
+    out = settle(STAGES[-1][1](spark, docs, sf_dir))
+    _delete(spark, base)
+    return out
