@@ -54,7 +54,7 @@ def parse_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT p_partkey, 1 AS start_line, CAST(4 AS INTEGER) AS end_line, 'title' AS name, p_name AS content FROM part
     UNION ALL SELECT p_partkey, 5, 7, 'brand', p_brand FROM part WHERE p_size % 2 = 0""")
 def section_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.concat(F.lit("x\n#title\n"), F.col("p_name"), F.lit("\n## title\n".replace("## title", "")), F.lit("\n# Brand\n"), F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).otherwise(" "), F.lit("\n"))
+    text = F.concat(F.lit("x\n#title\n"), F.col("p_name"), F.lit("\n\n\n# Brand\n"), F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).otherwise(" "), F.lit("\n"))
     found = parsing.sections(text, ["title", "brand"])
     return table(spark, sf_dir, "part").select("p_partkey", F.inline(found)).select("p_partkey", "start_line", "end_line", "name", "content")
 
