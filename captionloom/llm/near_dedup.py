@@ -12,8 +12,8 @@ and not a pair for each two. Every candidate link is then confirmed on the full
 confirmed links' components are found by alternating stars.
 
 A pair at exactly the threshold misses all TREES * BRANCHES root children with probability
-0.25 ** 8, about 2e-5; each further level of a large node keeps 15 of 16 such pairs, and trees are
-independent.
+0.25 ** 8, about 2e-5. Only in large nodes does it need deeper levels, where one shared child is
+expected at each; there documents have many partners, and trees are independent.
 
 Defined cases: null, empty and wordless texts have an empty set and link with nothing; a text of
 fewer than five words has its whole sequence as its one shingle; of a component, the document with
@@ -31,17 +31,22 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from captionloom.llm.common import salt_of, salted, settle
+from captionloom.llm.common import release, salt_of, salted, settle, sliced
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
-#: Minwise tokens of a sketch; trees; children of a document in a tree's root and in every deeper node.
+#: Minwise tokens of a sketch; trees; children of a document in a tree's root.
 SKETCH, TREES, BRANCHES = 64, 4, 2
+#: Of 100 documents of a deeper node, those that get a second child: one child over the threshold each, on average, so that
+#: the paths of a pair at the threshold do not die out and those of less similar documents do.
+SECOND = 33
 #: Members up to which a node is compared exhaustively; levels after which a node is left to the other trees.
-SMALL, LEVELS = 12, 8
+SMALL, LEVELS = 48, 6
 #: Equal sketch places (of SKETCH) that make a pair a candidate (3.7 standard errors below the threshold) and clearly similar.
-MAYBE, CLEAR = 35, 58
-#: Most ids that are broadcast (16 bytes each, about) where a table is filtered by them.
-BROADCAST_IDS = 100_000
+MAYBE, CLEAR = 35, 56
+#: Most narrow rows (some 50 bytes) and most rows with a sketch (some 300 bytes) that are broadcast; beyond it both sides are shuffled.
+BROADCAST_ROWS, BROADCAST_SKETCHES = 100_000, 15_000
+#: Pairs for which a hub's set is sent once.
+HUB_PAIRS = 64
 
 _rng = np.random.default_rng(20_240_229)
 _MIX = (_rng.integers(0, 2**63, WORDS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -84,100 +89,108 @@ def sketch(sets: list[np.ndarray]) -> np.ndarray:
 
 def _prints(id_type: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 500):
-                batch = whole.slice(lo, 500)
-                sets = [shingles(t) for t in batch.column(1).to_pylist()]
-                full = [s for s in sets if len(s)]
-                made = iter(sketch(full).view(np.int32)) if full else iter(())
-                rows = [next(made) if len(s) else None for s in sets]
-                keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(rows, pa.list_(pa.int32()))],
-                    names=["id", "n", "key", "sketch"],
-                )
+        for batch in sliced(batches):
+            sets = [shingles(t) for t in batch.column(1).to_pylist()]
+            full = [s for s in sets if len(s)]
+            made = iter(sketch(full).view(np.int32)) if full else iter(())
+            rows = [next(made) if len(s) else None for s in sets]
+            keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(rows, pa.list_(pa.int32()))],
+                names=["id", "n", "key", "sketch"],
+            )
 
     return run
 
 
-def _child(tree: Column, node: Column, branch: int) -> Column:
-    """The key of a node's child that a document reaches by the minwise token that (tree, node, branch) chooses."""
-    first = F.pmod(F.xxhash64(tree, node), F.lit(SKETCH)).cast("int")
-    # An odd step, so that the node's places differ.
-    place = F.pmod(first + branch * (2 * F.pmod(F.xxhash64(node, tree), F.lit(SKETCH // 2)).cast("int") + 1), F.lit(SKETCH))
-    return F.xxhash64(tree, node, place, F.element_at("sketch", place + 1))
+def _branched(rows: DataFrame, level: int) -> DataFrame:
+    """The children of (tree, node, id, label, sketch); below the root they keep the sketch.
 
+    Each level chooses from places of the sketch that are its own, so that no path meets a token twice. The trees'
+    roots have different places; below, every node chooses its own two.
+    """
+    width = SKETCH // (LEVELS + 1)
+    if level == 0:
+        places = [F.pmod(F.col("tree") * BRANCHES + k, F.lit(width)) for k in range(BRANCHES)]
+    else:
+        first = F.pmod(F.xxhash64("tree", "node"), F.lit(width))
+        step = 1 + F.pmod(F.xxhash64("node", "tree"), F.lit(width - 1))
+        places = [first, F.pmod(first + step, F.lit(width))]
+    keys = [F.xxhash64(F.col("tree"), F.col("node"), p, F.element_at("sketch", (p + level * width + 1).cast("int"))) for p in places]
+    if level:
+        # The token itself decides whether it gives a second child, alike for all documents that share it.
+        keys[1:] = [F.when(F.pmod(F.xxhash64(k), F.lit(100)) < SECOND, k) for k in keys[1:]]
+    children = F.explode(F.filter(F.array(*keys), lambda x: x.isNotNull()))
+    return rows.select("tree", children.alias("node"), "id", "label", *(["sketch"] if level else []))
 
-def _branched(rows: DataFrame) -> DataFrame:
-    """(tree, node, id, label) of the children of (tree, node, id, label, sketch)."""
-    children = F.explode(F.array(*[_child(F.col("tree"), F.col("node"), k) for k in range(BRANCHES)]))
-    return rows.select("tree", children.alias("node"), "id", "label")
+
+def _small(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Marked for broadcast if its counted rows are few."""
+    return F.broadcast(df) if rows <= most else df
 
 
 def _agree(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
 
 
-def _small_nodes(table: pa.Table) -> pa.Table:
-    """Pairs of a small node that are under different labels and similar by sketch."""
-    ids, labels = table["id"], table["label"].to_numpy()
-    flat = table["sketch"].combine_chunks().flatten().to_numpy().reshape(-1, SKETCH)
-    order = np.argsort(ids.to_numpy(zero_copy_only=False), kind="stable")
-    flat, labels, ids = flat[order], labels[order], ids.take(pa.array(order))
-    same = (flat[:, None, :] == flat[None, :, :]).sum(axis=2)
-    a, b = np.nonzero(np.triu((same >= MAYBE) & (labels[:, None] != labels[None, :]), 1))
-    return pa.table({"a": ids.take(pa.array(a)), "b": ids.take(pa.array(b))})
+def _small_nodes(own: DataFrame) -> DataFrame:
+    """Pairs of small nodes' members that are under different labels and similar by sketch."""
+    side = lambda x: own.select("tree", "node", F.col("id").alias(x), F.col("label").alias(f"{x}_label"), F.col("sketch").alias(f"{x}_sketch"))
+    met = side("a").join(side("b"), ["tree", "node"]).where("a < b AND a_label != b_label")
+    return met.where(_agree("a_sketch", "b_sketch") >= MAYBE).select("a", "b")
 
 
-def _candidates(classes: DataFrame, id_type: str) -> DataFrame | None:
+def _candidates(classes: DataFrame) -> DataFrame | None:
     """Distinct (a, b), a < b, of class representatives whose sketches are similar."""
     trees = classes.select(F.explode(F.sequence(F.lit(1), F.lit(TREES))).alias("tree"), F.lit(0).cast("long").alias("node"), "id", F.xxhash64("id").alias("label"), "sketch")
-    rows = _branched(trees)
+    rows = _branched(trees, 0)
     found: list[DataFrame] = []
-    for _ in range(LEVELS):
+    for level in range(1, LEVELS + 1):
         sizes = rows.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.when(F.col("label") == F.xxhash64("id"), F.col("id"))).alias("fresh"), F.min("id").alias("least"))
-        sizes = sizes.where("size > 1 AND low != high").select("tree", "node", "size", F.coalesce("fresh", "least").alias("leader"))
-        live = settle(rows.join(sizes, ["tree", "node"]))
-        if live.isEmpty():
+        sizes = settle(sizes.where("size > 1 AND low != high").select("tree", "node", "size", F.coalesce("fresh", "least").alias("leader")))
+        nodes, n = sizes.agg(F.count(F.lit(1)), F.count_if(F.col("size") > SMALL)).first()
+        if not nodes:
             break
-        own = live.join(classes.select("id", "sketch"), "id")
-        pairs = own.where(F.col("size") <= SMALL).groupBy("tree", "node").applyInArrow(_small_nodes, f"a {id_type}, b {id_type}")
-        found.append(settle(pairs.distinct()))
-        large = own.where(F.col("size") > SMALL)
-        leaders = classes.select(F.col("id").alias("leader"), F.col("sketch").alias("lead"))
-        heads = live.where((F.col("size") > SMALL) & (F.col("id") == F.col("leader"))).select("tree", "node", "leader").distinct()
-        heads = salted(heads.join(leaders, "leader").select("tree", "node", "lead"))
-        met = large.withColumn("salt", salt_of("id")).join(heads, ["tree", "node", "salt"]).withColumn("agree", _agree("sketch", "lead"))
-        met = settle(met.select("tree", "node", "id", "leader", "label", "agree"))
-        if met.isEmpty():
+        live = rows.join(_small(sizes, nodes), ["tree", "node"])
+        if level == 1:
+            # Sketches join the documents that share a node, once; deeper levels carry them on.
+            live = live.join(classes.select("id", "sketch"), "id")
+        live = settle(live)
+        found.append(_small_nodes(live.where(F.col("size") <= SMALL)))
+        if not n:
             break
-        found.append(met.where((F.col("agree") >= MAYBE) & (F.col("id") != F.col("leader"))).select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct())
-        marked = met.select("tree", "node", "id", F.when(F.col("agree") >= CLEAR, F.xxhash64("leader")).otherwise(F.col("label")).alias("label"))
+        large = live.where(F.col("size") > SMALL)
+        heads = large.where(F.col("id") == F.col("leader")).select("tree", "node", F.col("sketch").alias("lead"))
+        if n <= BROADCAST_SKETCHES:
+            met = large.join(F.broadcast(heads), ["tree", "node"])
+        else:
+            met = large.withColumn("salt", salt_of("id")).join(salted(heads), ["tree", "node", "salt"])
+        met = settle(met.select("tree", "node", "id", "leader", "label", "sketch", _agree("sketch", "lead").alias("agree")))
+        found.append(met.where((F.col("agree") >= MAYBE) & (F.col("id") != F.col("leader"))).select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")))
+        marked = met.select("tree", "node", "id", "sketch", F.when(F.col("agree") >= CLEAR, F.xxhash64("leader")).otherwise(F.col("label")).alias("label"))
         mixed = marked.groupBy("tree", "node").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("tree", "node")
-        rows = _branched(marked.join(mixed, ["tree", "node"], "left_semi").join(classes.select("id", "sketch"), "id"))
+        if level < LEVELS:
+            rows = settle(_branched(marked.join(_small(mixed, n), ["tree", "node"], "left_semi"), level))
+            release(rows.sparkSession)
     out = None
     for df in found:
         out = df if out is None else out.unionByName(df)
     return None if out is None else settle(out.distinct())
 
 
-def _filtered(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """Rows of docs whose id is listed; ids are broadcast only where they are few."""
-    return docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "id", "left_semi")
-
-
 def _confirmed(pairs: DataFrame, texts: DataFrame, id_type: str) -> DataFrame:
     """Pairs whose full sets meet the threshold."""
     ids = settle(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["id", "full"])
 
-    sets = settle(_filtered(texts, ids, ids.count()).dropDuplicates(["id"]).mapInArrow(full, f"id {id_type}, full binary"))
+    few = ids.count()
+    sets = settle(texts.join(_small(ids, few), "id", "left_semi").mapInArrow(full, f"id {id_type}, full binary"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             ok = []
             for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist(), strict=True):
                 p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -185,26 +198,33 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, id_type: str) -> DataFrame:
                 ok.append(DENOMINATOR * both >= NUMERATOR * (len(p) + len(q) - both))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    left = sets.select(F.col("id").alias("a"), F.col("full").alias("left"))
-    right = salted(sets.join(pairs.select(F.col("b").alias("id")).distinct(), "id", "left_semi")).select(F.col("id").alias("b"), "salt", F.col("full").alias("right"))
-    # Many pairs may share one leader on either side; the join's skewed partitions are split as it runs.
-    met = pairs.join(left, "a").withColumn("salt", salt_of("a"))
-    return met.join(right, ["b", "salt"]).select("a", "b", "left", "right").mapInArrow(judge, f"a {id_type}, b {id_type}")
+    # The end with more pairs is the hub; its set is sent once for each HUB_PAIRS of them, so that a leader's pairs spread.
+    degree = settle(pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).groupBy("id").agg(F.count(F.lit(1)).alias("degree")))
+    ends = pairs.join(_small(degree.select(F.col("id").alias("a"), F.col("degree").alias("da")), few), "a").join(_small(degree.select(F.col("id").alias("b"), F.col("degree").alias("db")), few), "b")
+    hub = F.col("da") >= F.col("db")
+    ends = ends.select(F.when(hub, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(hub, F.col("b")).otherwise(F.col("a")).alias("spoke"), F.greatest("da", "db").alias("degree"))
+    spread = F.ceil(F.col("degree") / HUB_PAIRS).cast("int")
+    ends = settle(ends.withColumn("salt", F.pmod(F.xxhash64("spoke"), spread)).select("hub", "spoke", "salt"))
+    hubs = ends.select("hub", "salt").distinct().join(sets.select(F.col("id").alias("hub"), F.col("full").alias("left")), "hub")
+    met = ends.join(sets.select(F.col("id").alias("spoke"), F.col("full").alias("right")), "spoke").join(hubs, ["hub", "salt"])
+    return met.select(F.least("hub", "spoke").alias("a"), F.greatest("hub", "spoke").alias("b"), "left", "right").mapInArrow(judge, f"a {id_type}, b {id_type}")
 
 
 def components(links: DataFrame) -> DataFrame:
     """(id, root): the smallest id that each linked id reaches, by alternating large and small stars."""
     edges = settle(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
     while True:
+        n = 2 * edges.count()
         # Large star: every larger neighbour of u is moved to the smallest id around u.
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        large = both.where("v > u").join(_small(least, n), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         large = settle(large)
         # Small star: u and its smaller neighbours are moved to the smallest of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+        moved = large.join(_small(low, n), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         small = settle(moved.union(low.select("u", F.col("m").alias("v"))).distinct())
+        release(small.sparkSession)
         if _same(edges, small):
             return small.select(F.col("u").alias("id"), F.col("v").alias("root"))
         edges = small
@@ -221,18 +241,19 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     id_type = texts.schema["id"].dataType.simpleString()
     prints = settle(texts.mapInArrow(_prints(id_type), f"id {id_type}, n long, key binary, sketch array<int>"))
     named = prints.where("n > 0 AND id IS NOT NULL")
-    classes = settle(named.groupBy("key").agg(F.min(F.struct("id", "sketch")).alias("rep")).select("key", "rep.id", "rep.sketch"))
+    classes = settle(named.groupBy("key").agg(F.min(F.struct("id", "sketch")).alias("rep"), F.count(F.lit(1)).alias("rows")).select("key", "rep.id", "rep.sketch", "rows"))
     # An id may come with several texts; its rows are one document of the graph.
     twice = named.groupBy("id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high").select("id")
     several = named.join(twice, "id", "left_semi").select("id", "key").distinct().join(classes.select("key", F.col("id").alias("rep")), "key").select(F.least("id", "rep").alias("a"), F.greatest("id", "rep").alias("b"))
-    roots = classes.select("key", "id")
-    pairs = _candidates(classes.select("id", "sketch").dropDuplicates(["id"]), id_type)
+    pairs = _candidates(classes.select("id", "sketch").dropDuplicates(["id"]))
     links = several if pairs is None else several.unionByName(_confirmed(pairs, texts, id_type))
     links = settle(links.distinct())
+    roots = classes.select("key", "id", "rows").withColumn("root", F.col("id"))
     if not links.isEmpty():
-        found = components(links)
-        roots = roots.join(found, "id", "left").select("key", F.coalesce("root", "id").alias("id"))
-    root = settle(salted(roots.withColumnRenamed("id", "root")))
-    out = prints.select("id", "n", "key", salt_of("id").alias("salt")).join(root, ["key", "salt"], "left")
+        roots = classes.select("key", "id", "rows").join(components(links), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    # Documents alone in their class and component need no partner; a hot class's rows are narrow, and its
+    # partition is split by the skew join as it runs.
+    roots = roots.where((F.col("rows") > 1) | (F.col("root") != F.col("id"))).select("key", "root")
+    out = prints.select("id", "n", "key").join(roots, "key", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("root", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
