@@ -5,11 +5,12 @@ representative of each class enters the join, so exact copies never meet in pair
 TREES independent trees. The root of each branches a document into children by BRANCHES minwise
 tokens that the tree chooses; below, every node chooses its own. A node that one document reaches
 is dropped; a small node is compared exhaustively (by sketch); a larger one compares all its
-members with one leader and branches on. Members whose sketch shows them clearly similar to the leader
-carry the leader's label: pairs under one label are already joined through it, and a node in which all carry
-the same label needs no more work, so a large group of near copies costs one link for each of them
-and not a pair for each two. Every candidate link is then confirmed on the full sets, and the
-confirmed links' components are found by alternating stars.
+members with one leader, the member most like the others, which then leaves the node, and branches on. Members whose
+link to the leader is confirmed on the full sets carry the leader's label: pairs under one label are already joined
+by confirmed links, and a node in which all carry the same label needs no more work, so a large group of near copies
+costs one link for each of them and not a pair for each two. Nodes still mixed after the last level are compared
+exhaustively on the full sets, in blocks, but for pairs that confirmed links join already. Every other candidate link
+is then confirmed on the full sets, and the confirmed links' components are found by alternating stars.
 
 A pair at exactly the threshold misses all TREES * BRANCHES root children with probability
 0.25 ** 8, about 2e-5. Only in large nodes does it need deeper levels, where one shared child is
@@ -39,10 +40,10 @@ SKETCH, TREES, BRANCHES = 64, 4, 2
 #: Of 100 documents of a deeper node, those that get a second child: one child over the threshold each, on average, so that
 #: the paths of a pair at the threshold do not die out and those of less similar documents do.
 SECOND = 33
-#: Members up to which a node is compared exhaustively; levels after which a node is left to the other trees.
-SMALL, LEVELS = 48, 6
-#: Equal sketch places (of SKETCH) that make a pair a candidate (3.7 standard errors below the threshold) and clearly similar.
-MAYBE, CLEAR = 35, 56
+#: Members up to which a node is compared exhaustively; levels after which larger nodes are too, in blocks of so many members.
+SMALL, LEVELS, BLOCK = 48, 6, 256
+#: Equal sketch places (of SKETCH) that make a pair a candidate (3.7 standard errors below the threshold).
+MAYBE = 35
 #: Most narrow rows (some 50 bytes) and most rows with a sketch (some 300 bytes) that are broadcast; beyond it both sides are shuffled.
 BROADCAST_ROWS, BROADCAST_SKETCHES = 100_000, 15_000
 #: Pairs for which a hub's set is sent once.
@@ -140,14 +141,74 @@ def _small_nodes(own: DataFrame) -> DataFrame:
     return met.where(_agree("a_sketch", "b_sketch") >= MAYBE).select("a", "b")
 
 
-def _candidates(classes: DataFrame) -> DataFrame | None:
-    """Distinct (a, b), a < b, of class representatives whose sketches are similar."""
+def _leaders(large: DataFrame, nodes: int) -> DataFrame:
+    """(tree, node, leader, lead_label, lead): of the members that no link holds yet, or else of all, the one that agrees
+    most with the tokens most frequent in a sample of them; in a group of edits of one base that is the base."""
+    free = F.col("label") == F.xxhash64("id")
+    drawn = free & (F.pmod(F.xxhash64("node", "id"), F.greatest("free", F.lit(1))) < SMALL)
+    usual = large.where(drawn).groupBy("tree", "node").agg(F.array(*[F.mode(F.get("sketch", F.lit(k)), True) for k in range(SKETCH)]).alias("usual"))
+    near = large.join(F.broadcast(usual) if nodes <= BROADCAST_SKETCHES else usual, ["tree", "node"], "left")
+    agree = F.coalesce(_agree("sketch", "usual"), F.lit(0))
+    best = near.groupBy("tree", "node").agg(F.max(F.struct(free.alias("free"), agree.alias("agree"), "id", "label", "sketch")).alias("best"))
+    return best.select("tree", "node", F.col("best.id").alias("leader"), F.col("best.label").alias("lead_label"), F.col("best.sketch").alias("lead"))
+
+
+def _in_blocks(left: DataFrame, sets: DataFrame, id_type: str) -> DataFrame:
+    """Links of (tree, node, id, label) by full sets, none left out but those that others already make good: every two
+    blocks of a node's members meet in one group of some 2 * BLOCK rows, which gives links of a forest of the labels."""
+    sizes = left.groupBy("tree", "node").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
+    own = left.join(sizes.select("tree", "node", "blocks"), ["tree", "node"]).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    own = own.join(sets, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    own = own.select("tree", "node", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "label", "full")
+
+    def compare(group: pa.Table) -> pa.Table:
+        ids, label = group.column("id").to_pylist(), group.column("label").to_numpy()
+        whole = [np.frombuffer(x, np.uint64) for x in group.column("full").to_pylist()]
+        size = np.array([len(x) for x in whole])
+        # Tokens that two members share at least, a slice of them at a time.
+        at, row = np.unique(np.concatenate(whole), return_inverse=True)[1], np.repeat(np.arange(len(ids)), size)
+        shared = np.bincount(at) > 1
+        row, at = row[shared[at]], (np.cumsum(shared) - 1)[at[shared[at]]]
+        order = np.argsort(at, kind="stable")
+        row, at, both = row[order], at[order], np.zeros((len(ids), len(ids)), np.float32)
+        for lo in range(0, int(shared.sum()), 4096):
+            here = slice(*np.searchsorted(at, [lo, lo + 4096]))
+            part = np.zeros((len(ids), 4096), np.float32)
+            part[row[here], at[here] - lo] = 1
+            both += part @ part.T
+        both = both.astype(np.int64)
+        near = (DENOMINATOR * both >= NUMERATOR * (size[:, None] + size - both)) & (label[:, None] != label)
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while x in root:
+                x = root[x]
+            return x
+
+        a, b = [], []
+        for k, m in zip(*np.nonzero(np.triu(near)), strict=True):
+            x, y = find(int(label[k])), find(int(label[m]))
+            if x != y:
+                root[x] = y
+                a.append(min(ids[k], ids[m]))
+                b.append(max(ids[k], ids[m]))
+        kind = group.schema.field("id").type
+        return pa.table({"a": pa.array(a, kind), "b": pa.array(b, kind)})
+
+    return own.groupBy("tree", "node", "i", "j").applyInArrow(compare, f"a {id_type}, b {id_type}")
+
+
+def _links(classes: DataFrame, texts: DataFrame, id_type: str) -> DataFrame | None:
+    """Distinct confirmed (a, b), a < b, of class representatives."""
     trees = classes.select(F.explode(F.sequence(F.lit(1), F.lit(TREES))).alias("tree"), F.lit(0).cast("long").alias("node"), "id", F.xxhash64("id").alias("label"), "sketch")
     rows = _branched(trees, 0)
     found: list[DataFrame] = []
+    sure: list[DataFrame] = []
+    sets = left = None
     for level in range(1, LEVELS + 1):
-        sizes = rows.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.when(F.col("label") == F.xxhash64("id"), F.col("id"))).alias("fresh"), F.min("id").alias("least"))
-        sizes = settle(sizes.where("size > 1 AND low != high").select("tree", "node", "size", F.coalesce("fresh", "least").alias("leader")))
+        free = F.count_if(F.col("label") == F.xxhash64("id"))
+        sizes = rows.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"), free.alias("free"))
+        sizes = settle(sizes.where("size > 1 AND low != high").select("tree", "node", "size", "free"))
         nodes, n = sizes.agg(F.count(F.lit(1)), F.count_if(F.col("size") > SMALL)).first()
         if not nodes:
             break
@@ -160,34 +221,61 @@ def _candidates(classes: DataFrame) -> DataFrame | None:
         if not n:
             break
         large = live.where(F.col("size") > SMALL)
-        heads = large.where(F.col("id") == F.col("leader")).select("tree", "node", F.col("sketch").alias("lead"))
+        heads = settle(_leaders(large, n))
         if n <= BROADCAST_SKETCHES:
             met = large.join(F.broadcast(heads), ["tree", "node"])
         else:
             met = large.withColumn("salt", salt_of("id")).join(salted(heads), ["tree", "node", "salt"])
-        met = settle(met.select("tree", "node", "id", "leader", "label", "sketch", _agree("sketch", "lead").alias("agree")))
-        found.append(met.where((F.col("agree") >= MAYBE) & (F.col("id") != F.col("leader"))).select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")))
-        marked = met.select("tree", "node", "id", "sketch", F.when(F.col("agree") >= CLEAR, F.xxhash64("leader")).otherwise(F.col("label")).alias("label"))
+        # The leader meets all members here and in no deeper node.
+        met = met.where(F.col("id") != F.col("leader")).withColumns({"a": F.least("id", "leader"), "b": F.greatest("id", "leader")})
+        met = settle(met.select("tree", "node", "id", "label", "lead_label", "sketch", "a", "b", (_agree("sketch", "lead") >= MAYBE).alias("maybe")))
+        if sets is None:
+            # Members of deeper large nodes are members of these.
+            sets = _sets(settle(large.select("id").distinct()), texts, id_type)
+        pairs = settle(met.where("maybe").select("a", "b").distinct())
+        linked = settle(_confirmed(pairs, sets, id_type).distinct())
+        sure.append(linked)
+        few = linked.count()
+        marked = met.join(_small(linked.withColumn("linked", F.lit(True)), few), ["a", "b"], "left")
+        marked = settle(marked.select("tree", "node", "id", "sketch", F.when(F.col("linked"), F.col("lead_label")).otherwise(F.col("label")).alias("label")))
         mixed = marked.groupBy("tree", "node").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("tree", "node")
+        left = marked.join(_small(mixed, n), ["tree", "node"], "left_semi")
         if level < LEVELS:
-            rows = settle(_branched(marked.join(_small(mixed, n), ["tree", "node"], "left_semi"), level))
-            release(rows.sparkSession)
+            rows, left = settle(_branched(left, level)), None
+        release(rows.sparkSession)
+    linked = _union(sure)
+    if left is not None and not left.isEmpty():
+        # A label is now all that confirmed links of any tree and level join.
+        left = settle(left.select("tree", "node", "id").join(components(linked), "id", "left").withColumn("label", F.xxhash64(F.coalesce("root", "id"))).drop("root"))
+        sure.append(settle(_in_blocks(left, sets, id_type).distinct()))
+        linked = _union(sure)
+    if not found:
+        return linked
+    pairs = _union(found).distinct()
+    pairs = settle(pairs if linked is None else pairs.join(linked, ["a", "b"], "left_anti"))
+    ids = settle(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    return _union([*sure, _confirmed(pairs, _sets(ids, texts, id_type), id_type)])
+
+
+def _union(dfs: list[DataFrame]) -> DataFrame | None:
     out = None
-    for df in found:
+    for df in dfs:
         out = df if out is None else out.unionByName(df)
-    return None if out is None else settle(out.distinct())
+    return out
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, id_type: str) -> DataFrame:
-    """Pairs whose full sets meet the threshold."""
-    ids = settle(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+def _sets(ids: DataFrame, texts: DataFrame, id_type: str) -> DataFrame:
+    """(id, full): the full sets of the texts with these (settled) ids."""
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["id", "full"])
 
-    few = ids.count()
-    sets = settle(texts.join(_small(ids, few), "id", "left_semi").mapInArrow(full, f"id {id_type}, full binary"))
+    return settle(texts.join(_small(ids, ids.count()), "id", "left_semi").mapInArrow(full, f"id {id_type}, full binary"))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, id_type: str) -> DataFrame:
+    """Pairs whose full sets meet the threshold."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -200,6 +288,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, id_type: str) -> DataFrame:
 
     # The end with more pairs is the hub; its set is sent once for each HUB_PAIRS of them, so that a leader's pairs spread.
     degree = settle(pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).groupBy("id").agg(F.count(F.lit(1)).alias("degree")))
+    few = degree.count()
     ends = pairs.join(_small(degree.select(F.col("id").alias("a"), F.col("degree").alias("da")), few), "a").join(_small(degree.select(F.col("id").alias("b"), F.col("degree").alias("db")), few), "b")
     hub = F.col("da") >= F.col("db")
     ends = ends.select(F.when(hub, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(hub, F.col("b")).otherwise(F.col("a")).alias("spoke"), F.greatest("da", "db").alias("degree"))
@@ -245,9 +334,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # An id may come with several texts; its rows are one document of the graph.
     twice = named.groupBy("id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high").select("id")
     several = named.join(twice, "id", "left_semi").select("id", "key").distinct().join(classes.select("key", F.col("id").alias("rep")), "key").select(F.least("id", "rep").alias("a"), F.greatest("id", "rep").alias("b"))
-    pairs = _candidates(classes.select("id", "sketch").dropDuplicates(["id"]))
-    links = several if pairs is None else several.unionByName(_confirmed(pairs, texts, id_type))
-    links = settle(links.distinct())
+    found = _links(classes.select("id", "sketch").dropDuplicates(["id"]), texts, id_type)
+    links = settle((several if found is None else several.unionByName(found)).distinct())
     roots = classes.select("key", "id", "rows").withColumn("root", F.col("id"))
     if not links.isEmpty():
         roots = classes.select("key", "id", "rows").join(components(links), "id", "left").withColumn("root", F.coalesce("root", "id"))

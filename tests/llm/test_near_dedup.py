@@ -54,6 +54,31 @@ def test_against_brute_force(spark, seed):
     assert got == brute(rows)
 
 
+def star(n, seed):
+    """n edits of one base (J to it over the threshold, to each other mostly under it), the base in the middle of the ids."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(304)]
+    rows = []
+    for _ in range(n):
+        edit = list(base)
+        # Each word is in five of the 300 shingles: 30 or 35 are new, and J to the base is 0.79 or 0.82.
+        for k in rng.sample(range(0, 300, 6), rng.choice([6, 7])):
+            edit[k + 2] = f"x{rng.random()}"
+        rows.append(" ".join(edit))
+    rows.insert(n // 2, " ".join(base))
+    return [(i + 1, t) for i, t in enumerate(rows)]
+
+
+@pytest.mark.parametrize("n", [300, 3000])
+def test_edits_of_one_base_whose_id_is_not_the_smallest(spark, n):
+    rows = star(n, n)
+    base = grams(rows[n // 2][1])
+    near = [i for i, t in rows if 100 * len(base & grams(t)) >= 75 * len(base | grams(t))]
+    assert len(near) == n + 1
+    got = {r.doc_id: r.component_id for r in nd.near_dedup(docs(spark, rows)).collect()}
+    assert got == {i: 1 for i, _ in rows}
+
+
 def test_components_of_a_chain(spark):
     ids = list(range(60))
     random.Random(4).shuffle(ids)
