@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,6 +80,27 @@ def test_edits_of_one_base_whose_id_is_not_the_smallest(spark, n):
     assert got == {i: 1 for i, _ in rows}
 
 
+def test_sketches_alone_join_nothing(spark, monkeypatch):
+    """Sketches that make all documents look alike cost time and no links: labels are given on full sets only."""
+    prints = nd._prints
+
+    def alike(id_type):
+        run = prints(id_type)
+
+        def same(batches):
+            for batch in run(batches):
+                zeros = pa.array([[0] * 64 if n else None for n in batch.column("n").to_pylist()], pa.list_(pa.int32()))
+                yield batch.set_column(batch.schema.get_field_index("sketch"), "sketch", zeros)
+
+        return same
+
+    monkeypatch.setattr(nd, "_prints", alike)
+    monkeypatch.setattr(nd, "BLOCK", 32, raising=False)
+    rows = corpus(3, 40)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in nd.near_dedup(docs(spark, rows)).collect()}
+    assert got == brute(rows)
+
+
 def test_components_of_a_chain(spark):
     ids = list(range(60))
     random.Random(4).shuffle(ids)
