@@ -18,7 +18,7 @@ within one edit of a form that first occurs earlier. A document that loses all o
 marked not kept.
 
 Defined cases: null text stays null and has no lines; lines whose form has fewer than `min_chars`
-characters are never judged; rows with the same id and the same text count as one document and all keep
+characters are not judged for edits, and those of fewer than `exact_chars` (`min_chars` if not given) not at all; rows with the same id and the same text count as one document and all keep
 or lose the same lines; null ids sort first; an empty table gives no rows; further columns pass through.
 """
 
@@ -188,14 +188,14 @@ def _forms(texts: DataFrame, min_chars: int) -> DataFrame:
     return each.where(F.length("form") >= min_chars).withColumn("line", F.struct(F.xxhash64("form").alias("h"), F.xxhash64(F.lit(9), "form").alias("g")))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
     """The documents with repeated lines taken out of the text, and the columns lines, exact_dropped, near_dropped
     (counts), line_kept (false where all the text went), n_links (near links that its lines' forms have) and class_id (the
     smallest id, its own included, in which one of its dropped lines or a form near to it first occurs)."""
     names = {n: safe_name(docs, n) for n in ("lines", "exact_dropped", "near_dropped", "line_kept", "n_links", "class_id")}
     row = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     lean = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), row.alias("row"), F.col(text_col).alias("text"))
-    each = _forms(lean, min_chars)
+    each = _forms(lean, min_chars if exact_chars is None else min(exact_chars, min_chars))
     occurrences = settle(each.select("id", "row", "at", "line", *[c.alias(n) for n, c in first_keys(F.col("form")).items()]))
     lines = occurrences.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "row", "at")).alias("first"), *[F.first(n).alias(n) for n in KEY_NAMES])
     lines = settle(lines)
@@ -211,7 +211,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         found = _forms(again, min_chars)
         return found.join(F.broadcast(places.select("line")) if few else places.select("line"), "line", "left_semi").select("line", "form").dropDuplicates(["line"])
 
-    links = settle(near_pairs(lines.select("line", *KEY_NAMES), texts_of))
+    links = settle(near_pairs(lines.where(F.col("size") >= min_chars).select("line", *KEY_NAMES), texts_of))
     release(docs.sparkSession)
     firsts = lines.select("line", "first")
     both = links.join(firsts.select(F.col("line").alias("a"), F.col("first").alias("fa")), "a").join(firsts.select(F.col("line").alias("b"), F.col("first").alias("fb")), "b")

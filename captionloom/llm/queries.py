@@ -34,7 +34,7 @@ def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.line_dedup(read(spark, sf_dir, "documents"))
+    out = line_dedup.line_dedup(read(spark, sf_dir, "documents"), exact_chars=1)
     return out.select("doc_id", "class_id", "n_links", "lines", "exact_dropped", "near_dropped", "line_kept", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 

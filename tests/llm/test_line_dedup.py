@@ -4,6 +4,7 @@ import re
 from pyspark.sql import functions as F
 
 from captionloom.llm import line_dedup as ld
+from captionloom.llm import queries
 from tests.llm.helpers import docs
 
 
@@ -119,3 +120,10 @@ def test_edges(spark):
     df = docs(spark, [(1, line), (2, line + "!"), (2, line + "!"), (3, "short\nshort"), (None, line)]).withColumns({"lines": F.lit("x"), "at": F.lit(1), "row": F.lit(2), "Line_Kept": F.lit(0)})
     got = sorted((str(r["doc_id"]), r["text"], r["line_kept_"], r["lines"]) for r in ld.line_dedup(df).collect())
     assert got == [("1", "", False, "x"), ("2", "", False, "x"), ("2", "", False, "x"), ("3", "short\nshort", True, "x"), ("None", line, True, "x")]
+
+
+def test_query_drops_exact_repeats_of_short_lines(spark, tmp_path):
+    rows = [(1, "all rights reserved.\nown"), (2, "All  rights reserved.\n\nother"), (3, "all rights reserved!"), (4, "x\nx")]
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.exact_dropped, r.near_dropped) for r in queries.op4_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: (0, 0), 2: (1, 0), 3: (0, 0), 4: (1, 0)}
