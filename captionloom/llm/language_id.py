@@ -7,7 +7,8 @@ the inverse square root of the landmarks' own kernel matrix, are a text's featur
 one-versus-rest ridge regressions are fitted. Texts are scored in batches: one matrix of n-gram
 presence times one matrix of landmarks, then times the regressions.
 
-The landmarks (LANDMARKS, from texts of at most LANDMARK_CHARS characters) and the regression's rows
+The landmarks (LANDMARKS, from texts of at most LANDMARK_CHARS characters, or a label's FEWEST shortest texts where it
+has fewer such) and the regression's rows
 (TRAIN_ROWS) are bounded samples of the labelled rows, chosen by a hash of the id; every whole text is scored.
 
 Defined cases: null texts and texts without a letter are `und` with score 0; so is every text where
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +32,8 @@ from captionloom.llm.common import safe_name
 
 ORDERS = (1, 2, 3)
 LANDMARKS, LANDMARK_CHARS, TRAIN_ROWS, RIDGE = 160, 6_000, 4_000, 0.05
+#: Texts that a label has as landmarks at least, if it has as many.
+FEWEST = 8
 #: Texts of a matrix product; how sharply scores tell the languages apart.
 BATCH, SHARPNESS = 128, 8.0
 UNKNOWN = "und"
@@ -110,10 +113,16 @@ def train(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str
     short = rows.where(F.length("text") <= LANDMARK_CHARS)
     count = lambda df: {r.label: r.n for r in df.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     whole, fit = count(rows), count(short)
-    if not fit:
+    if not whole:
         return Model([], None, None)
     labels = sorted(whole)
-    chosen = sorted({r.text for r in _sampled(short, fit, max(8, landmarks // len(fit)), 3).select("text").distinct().collect()})
+    texts = {r.text for r in _sampled(short, fit, max(8, landmarks // len(fit)), 3).select("text").distinct().collect()} if fit else set()
+    poor = [label for label in labels if fit.get(label, 0) < min(FEWEST, whole[label])]
+    if poor:
+        order = Window.partitionBy("label").orderBy(F.length("text"), "text")
+        shortest = rows.where(F.col("label").isin(poor)).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= FEWEST)
+        texts |= {r.text for r in shortest.select("text").collect()}
+    chosen = sorted(texts)
     if not chosen:
         chosen = [r.text for r in short.select("text").limit(1).collect()]
     marks = Landmarks(chosen)

@@ -52,3 +52,12 @@ def test_edges(spark):
     assert li.identify(df.limit(0), model).count() == 0
     none = li.train(df, F.lit(False))
     assert {r.lang_pred for r in li.identify(df.withColumn("SCORE", F.lit(1)), none).collect()} == {"und"}
+
+
+def test_a_label_with_long_texts_alone_is_learnt(spark):
+    df, _ = corpus(spark, 60)
+    long = df.withColumn("text", F.when(F.col("lang") == "aa", F.repeat(F.concat("text", F.lit(" ")), 4_000)).otherwise(F.col("text")))
+    for rows in (long, long.where("lang = 'aa'")):
+        model = li.train(rows, F.lit(True), landmarks=12)
+        got = [r.lang_pred for r in li.identify(rows.where("lang = 'aa'"), model).collect()]
+        assert got.count("aa") >= 0.9 * len(got)
