@@ -4,17 +4,19 @@ A document's set is its distinct 5-word shingles. Documents with equal sets form
 representative of each class enters the join, so exact copies never meet in pairs. The join walks
 TREES independent trees. The root of each branches a document into children by BRANCHES minwise
 tokens that the tree chooses; below, every node chooses its own. A node that one document reaches
-is dropped; a small node is compared exhaustively (by sketch); a larger one compares all its
-members with one leader, the member most like the others, which then leaves the node, and branches on. Members whose
-link to the leader is confirmed on the full sets carry the leader's label: pairs under one label are already joined
-by confirmed links, and a node in which all carry the same label needs no more work, so a large group of near copies
-costs one link for each of them and not a pair for each two. Nodes still mixed after the last level are compared
-exhaustively on the full sets, in blocks, but for pairs that confirmed links join already. Every other candidate link
-is then confirmed on the full sets, and the confirmed links' components are found by alternating stars.
+is dropped; a small one is compared exhaustively by sketch, and what is alike is confirmed on full sets.
+
+The members of a larger node bring their full sets. They are dealt into bounded blocks, each of which is compared
+exhaustively, the most alike first; links confirmed on full sets make labels, and pairs under one label are not compared
+any more, so a large group of near copies costs about one link for each of them and not a pair for each two. A node
+of one block or of one label is done. Where few members are outside a node's most frequent label, these are
+compared with all members, dealt into blocks, and the node is done too; the others branch on, and after LEVELS levels are
+finished in the same way, in blocks of both sides. No member of a node is left out. The components of all
+confirmed links are found by alternating stars.
 
 A pair at exactly the threshold misses all TREES * BRANCHES root children with probability
-0.25 ** 8, about 2e-5. Only in large nodes does it need deeper levels, where one shared child is
-expected at each; there documents have many partners, and trees are independent.
+0.25 ** 8, about 2e-5, and the screen by sketches with 2e-5. Only in nodes with more than BLOCK labels does it
+need deeper levels, where one shared child is expected at each.
 
 Defined cases: null, empty and wordless texts have an empty set and link with nothing; a text of
 fewer than five words has its whole sequence as its one shingle; of a component, the document with
@@ -29,10 +31,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from captionloom.llm.common import release, salt_of, salted, settle, sliced
+from captionloom.llm.common import release, settle, ship, sliced
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
 #: Minwise tokens of a sketch; trees; children of a document in a tree's root.
@@ -40,12 +42,17 @@ SKETCH, TREES, BRANCHES = 64, 4, 2
 #: Of 100 documents of a deeper node, those that get a second child: one child over the threshold each, on average, so that
 #: the paths of a pair at the threshold do not die out and those of less similar documents do.
 SECOND = 33
-#: Members up to which a node is compared exhaustively; levels after which larger nodes are too, in blocks of so many members.
-SMALL, LEVELS, BLOCK = 48, 6, 256
-#: Equal sketch places (of SKETCH) that make a pair a candidate (3.7 standard errors below the threshold).
-MAYBE = 35
-#: Most narrow rows (some 50 bytes) and most rows with a sketch (some 300 bytes) that are broadcast; beyond it both sides are shuffled.
-BROADCAST_ROWS, BROADCAST_SKETCHES = 100_000, 15_000
+#: Members up to which a root's child is compared by sketches; members, and tokens of their sets, that one block holds about.
+SMALL, BLOCK, BLOCK_TOKENS = 48, 1024, 1_000_000
+#: Members outside its most frequent label with which a node is finished (whatever their tokens, if they are FEW); levels after
+#: which every node is; members of each block, and of each node, that meet all.
+MOST_LONE, FEW, LEVELS, HUBS = 2048, 8, 16, 16
+#: Bits of a block's shared tokens (in 64s) up to which its sets are compared as bits, without the screen by sketches.
+MOST_LINES = 256
+#: Equal sketch places (of SKETCH) that make a pair a candidate (4.3 standard errors below the threshold).
+MAYBE = 33
+#: Most narrow rows (some 50 bytes) that are broadcast; beyond it both sides are shuffled.
+BROADCAST_ROWS = 100_000
 #: Pairs for which a hub's set is sent once.
 HUB_PAIRS = 64
 
@@ -104,157 +111,279 @@ def _prints(id_type: str):
     return run
 
 
-def _branched(rows: DataFrame, level: int) -> DataFrame:
-    """The children of (tree, node, id, label, sketch); below the root they keep the sketch.
+def _agree(own: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Equal places of every two rows of two arrays of sketches."""
+    out = np.zeros((len(own), len(other)), np.int16)
+    for k in range(SKETCH):
+        out += own[:, k, None] == other[None, :, k]
+    return out
+
+
+def _linked(p: np.ndarray, q: np.ndarray) -> bool:
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return DENOMINATOR * both >= NUMERATOR * (len(p) + len(q) - both)
 
-    Each level chooses from places of the sketch that are its own, so that no path meets a token twice. The trees'
-    roots have different places; below, every node chooses its own two.
-    """
-    width = SKETCH // (LEVELS + 1)
-    if level == 0:
-        places = [F.pmod(F.col("tree") * BRANCHES + k, F.lit(width)) for k in range(BRANCHES)]
-    else:
-        first = F.pmod(F.xxhash64("tree", "node"), F.lit(width))
-        step = 1 + F.pmod(F.xxhash64("node", "tree"), F.lit(width - 1))
-        places = [first, F.pmod(first + step, F.lit(width))]
-    keys = [F.xxhash64(F.col("tree"), F.col("node"), p, F.element_at("sketch", (p + level * width + 1).cast("int"))) for p in places]
-    if level:
-        # The token itself decides whether it gives a second child, alike for all documents that share it.
-        keys[1:] = [F.when(F.pmod(F.xxhash64(k), F.lit(100)) < SECOND, k) for k in keys[1:]]
-    children = F.explode(F.filter(F.array(*keys), lambda x: x.isNotNull()))
-    return rows.select("tree", children.alias("node"), "id", "label", *(["sketch"] if level else []))
-
-
-def _small(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:
+
+def _bits(rows: list[np.ndarray], most: int) -> np.ndarray | None:
+    """The rows' sets as bits of the tokens that two rows share at least, a line of numbers for each 64 of these tokens;
+    None if there were more than `most` lines."""
+    at = np.unique(np.concatenate(rows), return_inverse=True)[1]
+    often = np.bincount(at) > 1
+    lines = max(1, -(-int(often.sum()) // 64))
+    if lines > most:
+        return None
+    row = np.repeat(np.arange(len(rows)), [len(x) for x in rows])[often[at]]
+    at = (np.cumsum(often) - 1)[at[often[at]]]
+    out = np.zeros((lines, len(rows)), np.uint64)
+    np.bitwise_or.at(out, (at // 64, row), np.uint64(1) << (at % 64).astype(np.uint64))
+    return out
+
+
+def _sketches(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, SKETCH)
+
+
+def _small(df: DataFrame, rows: int) -> DataFrame:
     """Marked for broadcast if its counted rows are few."""
-    return F.broadcast(df) if rows <= most else df
-
-
-def _agree(a: str, b: str) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-
-
-def _small_nodes(own: DataFrame) -> DataFrame:
-    """Pairs of small nodes' members that are under different labels and similar by sketch."""
-    side = lambda x: own.select("tree", "node", F.col("id").alias(x), F.col("label").alias(f"{x}_label"), F.col("sketch").alias(f"{x}_sketch"))
-    met = side("a").join(side("b"), ["tree", "node"]).where("a < b AND a_label != b_label")
-    return met.where(_agree("a_sketch", "b_sketch") >= MAYBE).select("a", "b")
-
-
-def _leaders(large: DataFrame, nodes: int) -> DataFrame:
-    """(tree, node, leader, lead_label, lead): of the members that no link holds yet, or else of all, the one that agrees
-    most with the tokens most frequent in a sample of them; in a group of edits of one base that is the base."""
-    free = F.col("label") == F.xxhash64("id")
-    drawn = free & (F.pmod(F.xxhash64("node", "id"), F.greatest("free", F.lit(1))) < SMALL)
-    usual = large.where(drawn).groupBy("tree", "node").agg(F.array(*[F.mode(F.get("sketch", F.lit(k)), True) for k in range(SKETCH)]).alias("usual"))
-    near = large.join(F.broadcast(usual) if nodes <= BROADCAST_SKETCHES else usual, ["tree", "node"], "left")
-    agree = F.coalesce(_agree("sketch", "usual"), F.lit(0))
-    best = near.groupBy("tree", "node").agg(F.max(F.struct(free.alias("free"), agree.alias("agree"), "id", "label", "sketch")).alias("best"))
-    return best.select("tree", "node", F.col("best.id").alias("leader"), F.col("best.label").alias("lead_label"), F.col("best.sketch").alias("lead"))
-
-
-def _in_blocks(left: DataFrame, sets: DataFrame, id_type: str) -> DataFrame:
-    """Links of (tree, node, id, label) by full sets, none left out but those that others already make good: every two
-    blocks of a node's members meet in one group of some 2 * BLOCK rows, which gives links of a forest of the labels."""
-    sizes = left.groupBy("tree", "node").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    own = left.join(sizes.select("tree", "node", "blocks"), ["tree", "node"]).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    own = own.join(sets, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    own = own.select("tree", "node", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "label", "full")
-
-    def compare(group: pa.Table) -> pa.Table:
-        ids, label = group.column("id").to_pylist(), group.column("label").to_numpy()
-        whole = [np.frombuffer(x, np.uint64) for x in group.column("full").to_pylist()]
-        size = np.array([len(x) for x in whole])
-        # Tokens that two members share at least, a slice of them at a time.
-        at, row = np.unique(np.concatenate(whole), return_inverse=True)[1], np.repeat(np.arange(len(ids)), size)
-        shared = np.bincount(at) > 1
-        row, at = row[shared[at]], (np.cumsum(shared) - 1)[at[shared[at]]]
-        order = np.argsort(at, kind="stable")
-        row, at, both = row[order], at[order], np.zeros((len(ids), len(ids)), np.float32)
-        for lo in range(0, int(shared.sum()), 4096):
-            here = slice(*np.searchsorted(at, [lo, lo + 4096]))
-            part = np.zeros((len(ids), 4096), np.float32)
-            part[row[here], at[here] - lo] = 1
-            both += part @ part.T
-        both = both.astype(np.int64)
-        near = (DENOMINATOR * both >= NUMERATOR * (size[:, None] + size - both)) & (label[:, None] != label)
-        root: dict[int, int] = {}
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def _small_nodes(rows: DataFrame, id_type: str) -> DataFrame:
+    """Pairs (a, b), similar by sketch and under different labels, of members (tree, node, id, label, sketch) of small nodes."""
+
+    def compare(table: pa.Table) -> pa.RecordBatch:
+        node = table.column("node").to_numpy()
+        tree = table.column("tree").to_numpy()
+        label = np.unique(np.array(table.column("label").to_pylist(), object).astype(str), return_inverse=True)[1]
+        own, left, right = _sketches(table.column("sketch")), [], []
+        for step in range(1, SMALL):
+            at = np.flatnonzero((node[step:] == node[:-step]) & (tree[step:] == tree[:-step]))
+            if not len(at):
+                break
+            at = at[label[at] != label[at + step]]
+            at = at[(own[at] == own[at + step]).sum(axis=1) >= MAYBE]
+            left.append(at)
+            right.append(at + step)
+        ids = table.column("id").to_pylist()
+        ends = [(min(ids[x], ids[y]), max(ids[x], ids[y])) for x, y in zip(np.concatenate([[], *left]).astype(int), np.concatenate([[], *right]).astype(int), strict=True)]
+        kind = table.schema.field("id").type
+        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in ends], kind), pa.array([b for _, b in ends], kind)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table])
+            # The last node may go on in the next batch.
+            node = table.column("node").to_numpy()
+            tree = table.column("tree").to_numpy()
+            same = (node == node[-1]) & (tree == tree[-1])
+            cut = len(node) - int(same.sum())
+            yield compare(table.slice(0, cut))
+            rest = table.slice(cut)
+        if rest is not None:
+            yield compare(rest)
+
+    return rows.repartition("tree", "node").sortWithinPartitions("tree", "node").mapInArrow(run, f"a {id_type}, b {id_type}").distinct()
+
+
+def _block_links(rows: DataFrame, id_type: str, hubs: bool = False) -> DataFrame:
+    """In every group (tree, node, i, j) of (id, label, lone, full), each row with `lone` is compared with all others under
+    another label, and labels that a confirmed link joins become one. What comes out joins the members of each such
+    label to one of them, (a, b); with `hubs` also (tree, node, b, degree), the HUBS members that link with most that no
+    other hub links with."""
+
+    def compare(key: tuple, group: pa.Table) -> pa.Table:
+        ids, names = group.column("id").to_pylist(), group.column("label").to_pylist()
+        number = {n: k for k, n in enumerate(dict.fromkeys(names))}
+        label, whole = np.array([number[n] for n in names]), [np.frombuffer(x, np.uint64) for x in group.column("full").to_pylist()]
+        size, lone = np.array([len(x) for x in whole]), group.column("lone").to_numpy(zero_copy_only=False)
+        bits = _bits(whole, MOST_LINES)
+        own = np.concatenate([sketch(whole[lo : lo + 64]) for lo in range(0, len(whole), 64)]) if bits is None else None
+        first, left, right = np.flatnonzero(lone), [], []
+        for lo in range(0, len(first), 64):
+            part = first[lo : lo + 64]
+            if bits is None:
+                fit = _agree(own[part], own) >= MAYBE
+            else:
+                both = np.zeros((len(part), len(ids)), np.int64)
+                for line in bits:
+                    if line[part].any():
+                        both += np.bitwise_count(line[part][:, None] & line[None, :])
+                fit = DENOMINATOR * both >= NUMERATOR * (size[part][:, None] + size[None, :] - both)
+            # Two rows with `lone` meet once.
+            fit &= (label[part][:, None] != label[None, :]) & ~(lone[None, :] & (np.arange(len(ids))[None, :] < part[:, None]))
+            x, y = np.nonzero(fit)
+            left.append(part[x])
+            right.append(y)
+        left, right = (np.concatenate([np.zeros(0, int), *x]) for x in (left, right))
+        root, degree = list(range(len(number))), np.bincount(np.concatenate([left, right]), minlength=len(ids))
 
         def find(x: int) -> int:
-            while x in root:
+            while root[x] != x:
+                root[x] = root[root[x]]
                 x = root[x]
             return x
 
-        a, b = [], []
-        for k, m in zip(*np.nonzero(np.triu(near)), strict=True):
-            x, y = find(int(label[k])), find(int(label[m]))
-            if x != y:
-                root[x] = y
-                a.append(min(ids[k], ids[m]))
-                b.append(max(ids[k], ids[m]))
+        # Pairs of well linked rows come first, so that few others have to be looked at.
+        order = np.argsort(-(degree[left] + degree[right]), kind="stable") if bits is None else slice(None)
+        for x, y in zip(left[order].tolist(), right[order].tolist(), strict=True):
+            p, q = find(label[x]), find(label[y])
+            if p != q and (bits is not None or _linked(whole[x], whole[y])):
+                root[max(p, q)] = min(p, q)
+        names = list(number)
+        rows = [(names[find(x)], names[x], None) for x in range(len(names)) if find(x) != x]
+        if hubs and len(left):
+            links = np.lexsort((right, left))
+            left, right = left[links], right[links]
+            free = np.ones(len(ids), bool)
+            for _ in range(HUBS):
+                use = free[left] & free[right]
+                degree = np.bincount(np.concatenate([left[use], right[use]]), minlength=len(ids))
+                top = int(degree.argmax())
+                if not degree[top]:
+                    break
+                rows.append((None, ids[top], int(degree[top])))
+                free[right[left == top]] = free[left[right == top]] = free[top] = False
         kind = group.schema.field("id").type
-        return pa.table({"a": pa.array(a, kind), "b": pa.array(b, kind)})
+        tree, node = key[0].as_py(), key[1].as_py()
+        at = [pa.array([tree] * len(rows), pa.int32()), pa.array([node] * len(rows), pa.int64())]
+        return pa.Table.from_arrays([*at, pa.array([r[0] for r in rows], kind), pa.array([r[1] for r in rows], kind), pa.array([r[2] for r in rows], pa.int64())], names=["tree", "node", "a", "b", "degree"])
+
+    rows = rows.select("tree", "node", "i", "j", "id", "label", "lone", "full")
+    return rows.groupBy("tree", "node", "i", "j").applyInArrow(compare, f"tree int, node long, a {id_type}, b {id_type}, degree long")
+
 
-    return own.groupBy("tree", "node", "i", "j").applyInArrow(compare, f"a {id_type}, b {id_type}")
+def _children(rows: DataFrame, id_type: str) -> DataFrame:
+    """The children of (tree, node, id, n, full). Every node chooses two minwise tokens of its own; the second one itself
+    decides whether it gives a child, alike for all documents that share it."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            at, keys = [], []
+            seeds = _scramble(batch.column("node").to_numpy().view(np.uint64) * _MIX[0] + batch.column("tree").to_numpy().astype(np.uint64))
+            for k, full in enumerate(batch.column("full").to_pylist()):
+                tokens = np.frombuffer(full, np.uint64)
+                for second in (0, 1):
+                    seed = _scramble(seeds[k : k + 1] + _MIX[1 + second])
+                    child = _scramble(_scramble(tokens ^ seed).min(keepdims=True) * _MIX[3] + seed)
+                    if not second or int(_scramble(child)[0]) % 100 < SECOND:
+                        at.append(k)
+                        keys.append(child[0])
+            own = batch.select(["tree", "id", "n"]).take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([own.column(0), pa.array(np.array(keys, np.uint64).view(np.int64)), own.column(1), own.column(2)], names=["tree", "node", "id", "n"])
+
+    return rows.select("tree", "node", "id", "n", "full").mapInArrow(run, f"tree int, node long, id {id_type}, n long")
+
+
+def _blocks(size: str, tokens: str) -> Column:
+    return F.greatest(F.ceil(F.col(size) / BLOCK), F.ceil(F.col(tokens) / BLOCK_TOKENS), F.lit(1)).cast("int")
+
+
+def _labelled(rows: DataFrame, labels: DataFrame | None, count: int) -> DataFrame:
+    """With the label of each id: the smallest id that confirmed links join to it."""
+    if labels is None:
+        return rows.withColumn("label", F.col("id"))
+    return rows.join(_small(labels, count), "id", "left").withColumn("label", F.coalesce("root", "id")).drop("root")
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """(tree, node, size, tokens, major, lone, lone_tokens) of the nodes with more than one label: how many members are not
+    under the most frequent label, `major`, and the tokens of their sets."""
+    by_label = rows.groupBy("tree", "node", "label").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("own"))
+    most = F.max(F.struct("members", "own", "label")).alias("most")
+    nodes = by_label.groupBy("tree", "node").agg(F.sum("members").alias("size"), F.sum("own").alias("tokens"), most)
+    nodes = nodes.select("tree", "node", "size", "tokens", F.col("most.label").alias("major"), (F.col("size") - F.col("most.members")).alias("lone"), (F.col("tokens") - F.col("most.own")).alias("lone_tokens"))
+    return nodes.where("lone > 0")
+
+
+def _across(rows: DataFrame, lone: DataFrame) -> DataFrame:
+    """Groups in which blocks of all members (with `across`) meet blocks of the `lone` ones (with `down` and `across`)."""
+    each = lambda c: F.explode(F.sequence(F.lit(0), c - 1))
+    # Members stand in their block of the first kind, once for each block of the second kind, and the lone ones likewise.
+    whole = rows.withColumns({"i": F.pmod(F.xxhash64("id", "node"), F.col("across")).cast("int"), "lone": F.lit(False)}).withColumn("j", each(F.col("down")))
+    part = lone.withColumns({"j": F.pmod(F.xxhash64("node", "id"), F.col("down")).cast("int"), "lone": F.lit(True)}).withColumn("i", each(F.col("across")))
+    names = ["tree", "node", "i", "j", "id", "label", "lone", "full"]
+    return whole.select(*names).unionByName(part.select(*names))
+
+
+def _large_nodes(rows: DataFrame, texts: DataFrame, id_type: str) -> DataFrame | None:
+    """Labels (id, root) that confirmed links give the members (tree, node, id, n) of large nodes.
+
+    At each level a node's members are dealt into blocks, and each block is compared exhaustively; a node of one block is
+    done. In the others, the blocks' best linked members meet all members. With the labels that all links so far give,
+    nodes of one label are done, those with few members outside their most frequent label are
+    kept to be finished by comparing these with all members, and the rest branches on.
+    """
+    rows = settle(rows)
+    sets = _sets(settle(rows.select("id").distinct()), texts, id_type)
+    labels, count, rest = None, 0, []
+
+    def joined(found: list[DataFrame]) -> tuple[DataFrame, int]:
+        new = components(_union([df.where("a IS NOT NULL").select("a", "b") for df in found]).distinct())
+        if labels is not None:
+            # Links join labels; ids follow their labels.
+            moved = labels.join(new.select(F.col("id").alias("root"), F.col("root").alias("to")), "root", "left").select("id", F.coalesce("to", "root").alias("root"))
+            new = moved.unionByName(new.join(labels.select("id"), "id", "left_anti"))
+        new = settle(new)
+        return new, new.count()
 
-def _links(classes: DataFrame, texts: DataFrame, id_type: str) -> DataFrame | None:
-    """Distinct confirmed (a, b), a < b, of class representatives."""
-    trees = classes.select(F.explode(F.sequence(F.lit(1), F.lit(TREES))).alias("tree"), F.lit(0).cast("long").alias("node"), "id", F.xxhash64("id").alias("label"), "sketch")
-    rows = _branched(trees, 0)
-    found: list[DataFrame] = []
-    sure: list[DataFrame] = []
-    sets = left = None
     for level in range(1, LEVELS + 1):
-        free = F.count_if(F.col("label") == F.xxhash64("id"))
-        sizes = rows.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"), free.alias("free"))
-        sizes = settle(sizes.where("size > 1 AND low != high").select("tree", "node", "size", "free"))
-        nodes, n = sizes.agg(F.count(F.lit(1)), F.count_if(F.col("size") > SMALL)).first()
-        if not nodes:
+        own = _labelled(rows, labels, count)
+        nodes = settle(_mixed(own))
+        n = nodes.count()
+        if not n:
+            break
+        own = settle(own.join(_small(nodes, n), ["tree", "node"]).withColumn("across", _blocks("size", "tokens")))
+        dealt = own.withColumns({"i": F.pmod(F.xxhash64("id", "node"), F.col("across")).cast("int"), "j": F.lit(0), "lone": F.lit(True)})
+        links = [settle(_block_links(dealt.join(sets, "id"), id_type, hubs=True))]
+        wide = own.where("across > 1")
+        if not wide.isEmpty():
+            place = F.row_number().over(Window.partitionBy("tree", "node").orderBy(F.desc("degree"), "b"))
+            best = links[0].where("degree > 0").withColumn("place", place).where(F.col("place") <= HUBS).select("tree", "node", F.col("b").alias("id"))
+            hubs = wide.join(_small(best, HUBS * n), ["tree", "node", "id"], "left_semi").withColumn("down", F.lit(1))
+            met = _across(wide.withColumn("down", F.lit(1)).join(sets, "id"), hubs.join(sets, "id"))
+            links.append(settle(_block_links(met, id_type)))
+        labels, count = joined(links)
+        if len(links) == 1:
             break
-        live = rows.join(_small(sizes, nodes), ["tree", "node"])
-        if level == 1:
-            # Sketches join the documents that share a node, once; deeper levels carry them on.
-            live = live.join(classes.select("id", "sketch"), "id")
-        live = settle(live)
-        found.append(_small_nodes(live.where(F.col("size") <= SMALL)))
+        left = _labelled(wide.select("tree", "node", "id", "n"), labels, count)
+        nodes = settle(_mixed(left))
+        n = nodes.count()
         if not n:
             break
-        large = live.where(F.col("size") > SMALL)
-        heads = settle(_leaders(large, n))
-        if n <= BROADCAST_SKETCHES:
-            met = large.join(F.broadcast(heads), ["tree", "node"])
-        else:
-            met = large.withColumn("salt", salt_of("id")).join(salted(heads), ["tree", "node", "salt"])
-        # The leader meets all members here and in no deeper node.
-        met = met.where(F.col("id") != F.col("leader")).withColumns({"a": F.least("id", "leader"), "b": F.greatest("id", "leader")})
-        met = settle(met.select("tree", "node", "id", "label", "lead_label", "sketch", "a", "b", (_agree("sketch", "lead") >= MAYBE).alias("maybe")))
-        if sets is None:
-            # Members of deeper large nodes are members of these.
-            sets = _sets(settle(large.select("id").distinct()), texts, id_type)
-        pairs = settle(met.where("maybe").select("a", "b").distinct())
-        linked = settle(_confirmed(pairs, sets, id_type).distinct())
-        sure.append(linked)
-        few = linked.count()
-        marked = met.join(_small(linked.withColumn("linked", F.lit(True)), few), ["a", "b"], "left")
-        marked = settle(marked.select("tree", "node", "id", "sketch", F.when(F.col("linked"), F.col("lead_label")).otherwise(F.col("label")).alias("label")))
-        mixed = marked.groupBy("tree", "node").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("tree", "node")
-        left = marked.join(_small(mixed, n), ["tree", "node"], "left_semi")
-        if level < LEVELS:
-            rows, left = settle(_branched(left, level)), None
+        left = settle(left.join(_small(nodes, n), ["tree", "node"]))
+        few = (F.col("lone") <= MOST_LONE) & (F.col("lone_tokens") <= BLOCK_TOKENS) | (F.col("lone") <= FEW) | F.lit(level == LEVELS)
+        rest.append(left.where(few).select("tree", "node", "id", "n"))
+        rows = settle(_children(left.where(~few).join(sets, "id"), id_type))
         release(rows.sparkSession)
-    linked = _union(sure)
-    if left is not None and not left.isEmpty():
-        # A label is now all that confirmed links of any tree and level join.
-        left = settle(left.select("tree", "node", "id").join(components(linked), "id", "left").withColumn("label", F.xxhash64(F.coalesce("root", "id"))).drop("root"))
-        sure.append(settle(_in_blocks(left, sets, id_type).distinct()))
-        linked = _union(sure)
-    if not found:
-        return linked
-    pairs = _union(found).distinct()
-    pairs = settle(pairs if linked is None else pairs.join(linked, ["a", "b"], "left_anti"))
+    if rest:
+        rows = _labelled(_union(rest), labels, count)
+        nodes = settle(_mixed(rows))
+        rows = rows.join(_small(nodes, nodes.count()), ["tree", "node"]).withColumns({"across": _blocks("size", "tokens"), "down": _blocks("lone", "lone_tokens")}).join(sets, "id")
+        labels, count = joined([settle(_block_links(_across(rows, rows.where("label != major")), id_type))])
+    return labels
+
+
+def _links(classes: DataFrame, texts: DataFrame, id_type: str) -> DataFrame:
+    """Pairs (a, b), a < b, of class representatives (id, n, sketch), that have the components of the confirmed links."""
+    trees = classes.select(F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "id", "n", "sketch")
+    # The trees' roots have places of the sketch of their own.
+    tokens = [F.xxhash64("tree", F.lit(k), F.element_at("sketch", F.col("tree") * BRANCHES + (k + 1))) for k in range(BRANCHES)]
+    rows = trees.select("tree", F.explode(F.array(*tokens)).alias("node"), "id", "n")
+    sizes = settle(rows.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
+    nodes, large = sizes.agg(F.count(F.lit(1)), F.count_if(F.col("size") > SMALL)).first()
+    live = settle(rows.join(_small(sizes, nodes), ["tree", "node"]))
+    labels = _large_nodes(live.where(F.col("size") > SMALL).drop("size"), texts, id_type) if large else None
+    count = labels.count() if labels is not None else 0
+    small = live.where(F.col("size") <= SMALL).select("tree", "node", "id").join(classes.select("id", "sketch"), "id")
+    pairs = settle(_small_nodes(_labelled(small, labels, count), id_type))
     ids = settle(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-    return _union([*sure, _confirmed(pairs, _sets(ids, texts, id_type), id_type)])
+    found = _confirmed(pairs, _sets(ids, texts, id_type), id_type)
+    return found if labels is None else found.unionByName(labels.where("id != root").select(F.col("root").alias("a"), F.col("id").alias("b")))
 
 
 def _union(dfs: list[DataFrame]) -> DataFrame | None:
@@ -281,9 +410,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, id_type: str) -> DataFrame:
         for batch in sliced(batches):
             ok = []
             for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist(), strict=True):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                ok.append(DENOMINATOR * both >= NUMERATOR * (len(p) + len(q) - both))
+                ok.append(_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     # The end with more pairs is the hub; its set is sent once for each HUB_PAIRS of them, so that a leader's pairs spread.
@@ -302,40 +429,42 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, id_type: str) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(id, root): the smallest id that each linked id reaches, by alternating large and small stars."""
     edges = settle(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
+    before = _digest(edges)
     while True:
-        n = 2 * edges.count()
+        n = 2 * before[0]
         # Large star: every larger neighbour of u is moved to the smallest id around u.
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(_small(least, n), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        large = settle(large)
         # Small star: u and its smaller neighbours are moved to the smallest of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(_small(low, n), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-        small = settle(moved.union(low.select("u", F.col("m").alias("v"))).distinct())
-        release(small.sparkSession)
-        if _same(edges, small):
-            return small.select(F.col("u").alias("id"), F.col("v").alias("root"))
-        edges = small
+        edges = settle(moved.union(low.select("u", F.col("m").alias("v"))).distinct())
+        after = _digest(edges)
+        if after == before:
+            release(edges.sparkSession)
+            return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
+        before = after
 
 
-def _same(a: DataFrame, b: DataFrame) -> bool:
-    digest = lambda df: df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 30)))).first()
-    return tuple(digest(a)) == tuple(digest(b))
+def _digest(edges: DataFrame) -> tuple:
+    """Rows and two sums of hashes, by which sets of edges are told apart."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 30)))).first())
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: id, n_shingles, component_id, kept."""
+    ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = texts.schema["id"].dataType.simpleString()
     prints = settle(texts.mapInArrow(_prints(id_type), f"id {id_type}, n long, key binary, sketch array<int>"))
     named = prints.where("n > 0 AND id IS NOT NULL")
-    classes = settle(named.groupBy("key").agg(F.min(F.struct("id", "sketch")).alias("rep"), F.count(F.lit(1)).alias("rows")).select("key", "rep.id", "rep.sketch", "rows"))
+    classes = settle(named.groupBy("key").agg(F.min(F.struct("id", "n", "sketch")).alias("rep"), F.count(F.lit(1)).alias("rows")).select("key", "rep.id", "rep.n", "rep.sketch", "rows"))
     # An id may come with several texts; its rows are one document of the graph.
     twice = named.groupBy("id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high").select("id")
     several = named.join(twice, "id", "left_semi").select("id", "key").distinct().join(classes.select("key", F.col("id").alias("rep")), "key").select(F.least("id", "rep").alias("a"), F.greatest("id", "rep").alias("b"))
-    found = _links(classes.select("id", "sketch").dropDuplicates(["id"]), texts, id_type)
-    links = settle((several if found is None else several.unionByName(found)).distinct())
+    found = _links(classes.select("id", "n", "sketch").dropDuplicates(["id"]), texts, id_type)
+    links = settle(several.unionByName(found).distinct())
     roots = classes.select("key", "id", "rows").withColumn("root", F.col("id"))
     if not links.isEmpty():
         roots = classes.select("key", "id", "rows").join(components(links), "id", "left").withColumn("root", F.coalesce("root", "id"))

@@ -1,12 +1,12 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from captionloom.llm import near_dedup as nd
-from tests.llm.helpers import docs
+from tests.llm.helpers import docs, table
 
 
 def grams(text):
@@ -32,6 +32,30 @@ def brute(rows):
     return {i: (len(sets[i]), find(i), find(i) == i) for i in ids}
 
 
+def brute_by_prefixes(rows):
+    """brute() for larger tables: sets that meet the threshold share one of their rarest tokens, so no other pair is looked at."""
+    sets, root, often = {i: grams(t) for i, t in rows}, {i: i for i, _ in rows}, Counter()
+    for s in sets.values():
+        often.update(s)
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    index = defaultdict(list)
+    for i, s in sets.items():
+        head = sorted(s, key=lambda g: (often[g], g))[: len(s) - (75 * len(s) + 99) // 100 + 1]
+        for j in {j for g in head for j in index[g]}:
+            both = len(s & sets[j])
+            if 100 * both >= 75 * len(s | sets[j]):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+        for g in head:
+            index[g].append(i)
+    return {i: (len(s), find(i), find(i) == i) for i, s in sets.items()}
+
+
 def corpus(seed, n):
     rng = random.Random(seed)
     fresh = lambda k: [f"w{rng.randrange(5000)}" for _ in range(k)]
@@ -101,6 +125,41 @@ def test_sketches_alone_join_nothing(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def dense(n, seed):
+    """n copies of one text with 1 to 4 of its 100 words changed: some links, many pairs just below the threshold."""
+    rng = random.Random(seed)
+    base, rows = [f"w{k}" for k in range(100)], []
+    for _ in range(n):
+        copy = list(base)
+        for k in rng.sample(range(100), rng.randint(1, 4)):
+            copy[k] = f"x{rng.random()}"
+        rows.append(" ".join(copy))
+    return [(i + 1, t) for i, t in enumerate(rows)]
+
+
+@pytest.mark.parametrize("block", [1024, 64])
+@pytest.mark.parametrize("lines", [256, 0])
+def test_a_dense_group_well_above_a_small_node(spark, monkeypatch, block, lines):
+    """Every way through a large node: one block, blocks with hubs, finished nodes and branches; sets as bits and by sketches."""
+    monkeypatch.setattr(nd, "BLOCK", block)
+    monkeypatch.setattr(nd, "MOST_LONE", 2 * block)
+    monkeypatch.setattr(nd, "MOST_LINES", lines)
+    rows = dense(700, 5) + [(800 + i, t) for i, t in corpus(6, 30)]
+    want = brute(rows)
+    assert 300 < sum(w[2] for w in want.values()) < 760
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in nd.near_dedup(docs(spark, rows)).collect()}
+    wrong = [i for i in want if got[i] != want[i]]
+    assert len(wrong) <= (0 if block == 1024 else 7), len(wrong)
+
+
+def test_recall_on_a_table(spark):
+    rows = [(r[0], r[1]) for r in table("sf0.01", "documents")]
+    want = brute_by_prefixes(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in nd.near_dedup(docs(spark, rows)).collect()}
+    wrong = [i for i in want if got[i] != want[i]]
+    assert len(wrong) <= 0.01 * sum(1 for i, w in want.items() if w[1] != i)
+
+
 def test_components_of_a_chain(spark):
     ids = list(range(60))
     random.Random(4).shuffle(ids)
