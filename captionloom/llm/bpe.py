@@ -3,12 +3,13 @@
 Long texts are cut at safe boundaries first: places where the splitting pattern always ends a
 match, whatever stands around them (a letter or digit, then a space or a new line, then a letter;
 a letter, then plain punctuation). So the pieces' tokens, joined, are the whole text's tokens, and
-no call holds more than one piece. Ids are kept as packed little-endian unsigned 32-bit integers;
+no call holds more than one piece. Long runs of white space, in which no such place is, are cut out as the one match that
+the pattern makes of them. Ids are kept as packed little-endian unsigned 32-bit integers;
 decoding joins the ids' raw bytes and needs no valid UTF-8 inside a token.
 
 Defined cases: null and empty texts have no tokens and decode to no bytes; strings of special
-tokens are ordinary text; further columns pass through; a text without a safe boundary is encoded
-in one call; an empty table gives no rows.
+tokens are ordinary text; further columns pass through; a text without a safe boundary or
+a long run of white space is encoded in one call; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,10 +25,13 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from captionloom.llm.common import safe_name
+from captionloom.llm.common import safe_name, ship
 
 #: Characters after which a long text is cut at its next safe boundary.
 PIECE_CHARS = 50_000
+#: White space that stands in one run of so many characters or more is given to the encoder as one match, without the pattern,
+#: whose look-ahead overflows the stack on runs of about a million.
+BLANK_CHARS = 10_000
 #: Rows that a worker turns over at once.
 SLICE_ROWS = 256
 _SAFE = regex.compile(r"(?<=[0-9A-Za-z])(?=[ \n][A-Za-z])|(?<=[A-Za-z])(?=[.,;:!?])|(?<=[一-鿿])(?=[、。，！？])")
@@ -41,6 +45,11 @@ def encoder(rank_file: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+@functools.lru_cache(maxsize=4)
+def _blank_run(chars: int) -> regex.Pattern:
+    return regex.compile(rf"\p{{White_Space}}{{{max(chars, 2)},}}")
+
+
 def pieces(text: str, limit: int = PIECE_CHARS) -> Iterator[str]:
     at = 0
     while len(text) - at > limit:
@@ -52,14 +61,21 @@ def pieces(text: str, limit: int = PIECE_CHARS) -> Iterator[str]:
     yield text[at:]
 
 
-def encode_text(enc: tiktoken.Encoding, text: str | None, limit: int = PIECE_CHARS) -> list[int]:
+def encode_text(enc: tiktoken.Encoding, text: str | None, limit: int = PIECE_CHARS, blank: int = BLANK_CHARS) -> list[int]:
     if not text:
         return []
-    if len(text) <= limit:
+    if len(text) <= min(limit, blank):
         return enc.encode_ordinary(text)
     ids: list[int] = []
     for piece in pieces(text, limit):
-        ids += enc.encode_ordinary(piece)
+        at = 0
+        for run in _blank_run(blank).finditer(piece):
+            # The match that the pattern makes of the run: all of it at the text's end, else all but its last character.
+            end = run.end() - (run.end() < len(piece))
+            ids += enc.encode_ordinary(piece[at : run.start()])
+            ids += enc._encode_single_piece(piece[run.start() : end])
+            at = end
+        ids += enc.encode_ordinary(piece[at:])
     return ids
 
 
@@ -93,6 +109,8 @@ def encode(
     docs = docs.drop(*[c for c in docs.columns if c.lower() in {n.lower() for n, _, _ in new}])
     kept = [c for c in docs.columns if keep_text or c != text_col]
 
+    ship(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(rank_file, pattern)
         for batch in _sliced(batches):

@@ -18,6 +18,20 @@ def test_pieces_do_not_change_the_tokens():
         assert bpe.encode_text(enc, text, limit=rng.randint(1, 30)) == enc.encode_ordinary(text)
 
 
+def test_runs_of_white_space_cut_out_do_not_change_the_tokens():
+    enc, rng = bpe.encoder(PATH, PATTERN), random.Random(4)
+    parts = ["word", "it's", "1", "!", "é", " ", " ", "  ", "\n", "\t", "\r\n", "\u00a0", "\u3000", "\x1c", "\x1f", "\u200b"]
+    for _ in range(600):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 40)))
+        assert bpe.encode_text(enc, text, limit=rng.choice([1, 8, 1000]), blank=rng.randint(2, 6)) == enc.encode_ordinary(text), repr(text)
+
+
+def test_runs_of_millions(spark):
+    texts = [" " * 2_000_000, "a" + "\n " * 1_000_000 + "b", "\t" * 2_000_000 + " c" + " " * 1_200_000, "x" * 1_000_000]
+    for r in bpe.encode(docs(spark, list(enumerate(texts))), PATH, PATTERN, decoded_col="decoded").collect():
+        assert bytes(r.decoded).decode() == texts[r.doc_id] and r.n_tokens == len(r.token_ids) // 4
+
+
 def test_round_trip_and_edges(spark):
     texts = [None, "", "plain words", "ünïcödé 漢字 😀 \u0000", "<|endoftext|>", "a b " * 60_000, " " * 3000]
     df = docs(spark, list(enumerate(texts))).withColumn("decoded", F.lit("kept")).withColumn("N_Tokens", F.lit(1))
