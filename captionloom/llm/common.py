@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from captionloom.operators.lineage import release, settle, ship
 
-__all__ = ["BROADCAST_IDS", "SALTS", "crc_of_id", "parts_for", "read", "release", "safe_name", "salt_of", "salted", "settle", "ship", "sliced", "without"]
+__all__ = ["BROADCAST_IDS", "SALTS", "components", "crc_of_id", "few", "parts_for", "read", "release", "safe_name", "salt_of", "salted", "settle", "ship", "sliced", "without"]
 
+#: Most narrow rows (some 50 bytes) that few() marks.
+BROADCAST_ROWS = 100_000
 #: Rounds of salt for groups that may hold a large share of all rows.
 SALTS = 32
 
@@ -61,3 +63,34 @@ def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFram
     """Rows whose id is not listed; rows with a null id stay."""
     ids = settle(ids.select(id_col).where(F.col(id_col).isNotNull()).distinct())
     return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, id_col, "left_anti")
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """Marked for broadcast if its counted, narrow rows are few; beyond that both sides of its join are shuffled."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(id, root): the smallest id that each linked id reaches, by alternating large and small stars."""
+    edges = settle(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
+    before = _digest(edges)
+    while True:
+        n = 2 * before[0]
+        # Large star: every larger neighbour of u is moved to the smallest id around u.
+        both = edges.union(edges.select("v", "u"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.where("v > u").join(few(least, n), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        # Small star: u and its smaller neighbours are moved to the smallest of them.
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        moved = large.join(few(low, n), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+        edges = settle(moved.union(low.select("u", F.col("m").alias("v"))).distinct())
+        after = _digest(edges)
+        if after == before:
+            release(edges.sparkSession)
+            return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
+        before = after
+
+
+def _digest(edges: DataFrame) -> tuple:
+    """Rows and two sums of hashes, by which sets of edges are told apart."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 30)))).first())

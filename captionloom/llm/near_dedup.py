@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from captionloom.llm.common import release, settle, ship, sliced
+from captionloom.llm.common import components, few, release, settle, ship, sliced
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
 #: Minwise tokens of a sketch; trees; children of a document in a tree's root.
@@ -51,8 +51,6 @@ MOST_LONE, FEW, LEVELS, HUBS = 2048, 8, 16, 16
 MOST_LINES = 256
 #: Equal sketch places (of SKETCH) that make a pair a candidate (4.3 standard errors below the threshold).
 MAYBE = 33
-#: Most narrow rows (some 50 bytes) that are broadcast; beyond it both sides are shuffled.
-BROADCAST_ROWS = 100_000
 #: Pairs for which a hub's set is sent once.
 HUB_PAIRS = 64
 
@@ -144,11 +142,6 @@ def _sketches(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, SKETCH)
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    """Marked for broadcast if its counted rows are few."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def _small_nodes(rows: DataFrame, id_type: str) -> DataFrame:
     """Pairs (a, b), similar by sketch and under different labels, of members (tree, node, id, label, sketch) of small nodes."""
 
@@ -287,7 +280,7 @@ def _labelled(rows: DataFrame, labels: DataFrame | None, count: int) -> DataFram
     """With the label of each id: the smallest id that confirmed links join to it."""
     if labels is None:
         return rows.withColumn("label", F.col("id"))
-    return rows.join(_small(labels, count), "id", "left").withColumn("label", F.coalesce("root", "id")).drop("root")
+    return rows.join(few(labels, count), "id", "left").withColumn("label", F.coalesce("root", "id")).drop("root")
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
@@ -322,6 +315,10 @@ def _large_nodes(rows: DataFrame, texts: DataFrame, id_type: str) -> DataFrame |
     sets = _sets(settle(rows.select("id").distinct()), texts, id_type)
     labels, count, rest = None, 0, []
 
+    def with_sets(df: DataFrame, members: int) -> DataFrame:
+        # Few rows go to the sets, so that sets are moved to their blocks only.
+        return sets.join(few(df, members), "id")
+
     def joined(found: list[DataFrame]) -> tuple[DataFrame, int]:
         new = components(_union([df.where("a IS NOT NULL").select("a", "b") for df in found]).distinct())
         if labels is not None:
@@ -334,18 +331,18 @@ def _large_nodes(rows: DataFrame, texts: DataFrame, id_type: str) -> DataFrame |
     for level in range(1, LEVELS + 1):
         own = _labelled(rows, labels, count)
         nodes = settle(_mixed(own))
-        n = nodes.count()
+        n, members = nodes.agg(F.count(F.lit(1)), F.sum("size")).first()
         if not n:
             break
-        own = settle(own.join(_small(nodes, n), ["tree", "node"]).withColumn("across", _blocks("size", "tokens")))
+        own = settle(own.join(few(nodes, n), ["tree", "node"]).withColumn("across", _blocks("size", "tokens")))
         dealt = own.withColumns({"i": F.pmod(F.xxhash64("id", "node"), F.col("across")).cast("int"), "j": F.lit(0), "lone": F.lit(True)})
-        links = [settle(_block_links(dealt.join(sets, "id"), id_type, hubs=True))]
+        links = [settle(_block_links(with_sets(dealt, members), id_type, hubs=True))]
         wide = own.where("across > 1")
         if not wide.isEmpty():
             place = F.row_number().over(Window.partitionBy("tree", "node").orderBy(F.desc("degree"), "b"))
             best = links[0].where("degree > 0").withColumn("place", place).where(F.col("place") <= HUBS).select("tree", "node", F.col("b").alias("id"))
-            hubs = wide.join(_small(best, HUBS * n), ["tree", "node", "id"], "left_semi").withColumn("down", F.lit(1))
-            met = _across(wide.withColumn("down", F.lit(1)).join(sets, "id"), hubs.join(sets, "id"))
+            hubs = wide.join(few(best, HUBS * n), ["tree", "node", "id"], "left_semi").withColumn("down", F.lit(1))
+            met = _across(with_sets(wide.withColumn("down", F.lit(1)), members), with_sets(hubs, HUBS * n))
             links.append(settle(_block_links(met, id_type)))
         labels, count = joined(links)
         if len(links) == 1:
@@ -355,15 +352,17 @@ def _large_nodes(rows: DataFrame, texts: DataFrame, id_type: str) -> DataFrame |
         n = nodes.count()
         if not n:
             break
-        left = settle(left.join(_small(nodes, n), ["tree", "node"]))
-        few = (F.col("lone") <= MOST_LONE) & (F.col("lone_tokens") <= BLOCK_TOKENS) | (F.col("lone") <= FEW) | F.lit(level == LEVELS)
-        rest.append(left.where(few).select("tree", "node", "id", "n"))
-        rows = settle(_children(left.where(~few).join(sets, "id"), id_type))
+        left = settle(left.join(few(nodes, n), ["tree", "node"]))
+        last = (F.col("lone") <= MOST_LONE) & (F.col("lone_tokens") <= BLOCK_TOKENS) | (F.col("lone") <= FEW) | F.lit(level == LEVELS)
+        rest.append(left.where(last).select("tree", "node", "id", "n"))
+        rows = settle(_children(with_sets(left.where(~last), members), id_type))
         release(rows.sparkSession)
     if rest:
         rows = _labelled(_union(rest), labels, count)
         nodes = settle(_mixed(rows))
-        rows = rows.join(_small(nodes, nodes.count()), ["tree", "node"]).withColumns({"across": _blocks("size", "tokens"), "down": _blocks("lone", "lone_tokens")}).join(sets, "id")
+        n, members = nodes.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+        rows = rows.join(few(nodes, n), ["tree", "node"]).withColumns({"across": _blocks("size", "tokens"), "down": _blocks("lone", "lone_tokens")})
+        rows = with_sets(rows, members)
         labels, count = joined([settle(_block_links(_across(rows, rows.where("label != major")), id_type))])
     return labels
 
@@ -376,7 +375,7 @@ def _links(classes: DataFrame, texts: DataFrame, id_type: str) -> DataFrame:
     rows = trees.select("tree", F.explode(F.array(*tokens)).alias("node"), "id", "n")
     sizes = settle(rows.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
     nodes, large = sizes.agg(F.count(F.lit(1)), F.count_if(F.col("size") > SMALL)).first()
-    live = settle(rows.join(_small(sizes, nodes), ["tree", "node"]))
+    live = settle(rows.join(few(sizes, nodes), ["tree", "node"]))
     labels = _large_nodes(live.where(F.col("size") > SMALL).drop("size"), texts, id_type) if large else None
     count = labels.count() if labels is not None else 0
     small = live.where(F.col("size") <= SMALL).select("tree", "node", "id").join(classes.select("id", "sketch"), "id")
@@ -400,7 +399,7 @@ def _sets(ids: DataFrame, texts: DataFrame, id_type: str) -> DataFrame:
         for batch in sliced(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["id", "full"])
 
-    return settle(texts.join(_small(ids, ids.count()), "id", "left_semi").mapInArrow(full, f"id {id_type}, full binary"))
+    return settle(texts.join(few(ids, ids.count()), "id", "left_semi").mapInArrow(full, f"id {id_type}, full binary"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, id_type: str) -> DataFrame:
@@ -415,8 +414,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, id_type: str) -> DataFrame:
 
     # The end with more pairs is the hub; its set is sent once for each HUB_PAIRS of them, so that a leader's pairs spread.
     degree = settle(pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).groupBy("id").agg(F.count(F.lit(1)).alias("degree")))
-    few = degree.count()
-    ends = pairs.join(_small(degree.select(F.col("id").alias("a"), F.col("degree").alias("da")), few), "a").join(_small(degree.select(F.col("id").alias("b"), F.col("degree").alias("db")), few), "b")
+    rows = degree.count()
+    ends = pairs.join(few(degree.select(F.col("id").alias("a"), F.col("degree").alias("da")), rows), "a").join(few(degree.select(F.col("id").alias("b"), F.col("degree").alias("db")), rows), "b")
     hub = F.col("da") >= F.col("db")
     ends = ends.select(F.when(hub, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(hub, F.col("b")).otherwise(F.col("a")).alias("spoke"), F.greatest("da", "db").alias("degree"))
     spread = F.ceil(F.col("degree") / HUB_PAIRS).cast("int")
@@ -426,32 +425,6 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, id_type: str) -> DataFrame:
     return met.select(F.least("hub", "spoke").alias("a"), F.greatest("hub", "spoke").alias("b"), "left", "right").mapInArrow(judge, f"a {id_type}, b {id_type}")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(id, root): the smallest id that each linked id reaches, by alternating large and small stars."""
-    edges = settle(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
-    before = _digest(edges)
-    while True:
-        n = 2 * before[0]
-        # Large star: every larger neighbour of u is moved to the smallest id around u.
-        both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(_small(least, n), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        # Small star: u and its smaller neighbours are moved to the smallest of them.
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(_small(low, n), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-        edges = settle(moved.union(low.select("u", F.col("m").alias("v"))).distinct())
-        after = _digest(edges)
-        if after == before:
-            release(edges.sparkSession)
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
-        before = after
-
-
-def _digest(edges: DataFrame) -> tuple:
-    """Rows and two sums of hashes, by which sets of edges are told apart."""
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 30)))).first())
-
-
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: id, n_shingles, component_id, kept."""
     ship(docs.sparkSession)
