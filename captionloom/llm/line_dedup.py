@@ -27,12 +27,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from captionloom.llm.common import release, safe_name, settle
+from captionloom.llm.common import components, release, safe_name, settle
 
 #: Edits; shortest form that is judged; parts into which a hot key's block is split at a time; pairs that a key may make unsplit.
 THRESHOLD, MIN_CHARS, PARTS, KEY_PAIRS = 1, 30, 4, 40
 #: Most line keys that are broadcast (16 bytes each, about) where lines are filtered by them.
 BROADCAST_KEYS = 100_000
+#: Lines that stand for more than such a part of all occurrences are broadcast where occurrences meet them.
+HOT_LINES = 10_000
 
 
 def normal_lines(text: Column) -> Column:
@@ -188,17 +190,36 @@ def _forms(texts: DataFrame, min_chars: int) -> DataFrame:
     return each.where(F.length("form") >= min_chars).withColumn("line", F.struct(F.xxhash64("form").alias("h"), F.xxhash64(F.lit(9), "form").alias("g")))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
+def _hits(occurrences: DataFrame, judged: DataFrame, total: int) -> DataFrame:
+    """Occurrences with their judged lines. Lines with more than a HOT_LINES-th of all occurrences, fewer than HOT_LINES
+    by that count, are broadcast, so that no line that very many rows share lands in one task; the others are shuffled."""
+    hot = F.col("n") > max(1, total // HOT_LINES)
+    often = F.broadcast(judged.where(hot))
+    rest = occurrences.join(often.select("line"), "line", "left_anti").join(judged.where(~hot), "line")
+    return occurrences.join(often, "line").unionByName(rest)
+
+
+def _without_places(text: Column, places: Column) -> Column:
+    """The text without the lines at these places, in time in proportion to its lines."""
+    kept = lambda own: F.transform(F.array_except(F.sequence(F.lit(0), F.size(own) - 1), places), lambda k: F.get(own, k))
+    # Where no line is left, the sequence is empty and so is the text.
+    return F.get(F.transform(F.array(F.split(text, "\n")), lambda own: F.array_join(kept(own), "\n")), F.lit(0))
+
+
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, exact_chars: int | None = None, classes: bool = True) -> DataFrame:
     """The documents with repeated lines taken out of the text, and the columns lines, exact_dropped, near_dropped
-    (counts), line_kept (false where all the text went), n_links (near links that its lines' forms have) and class_id (the
-    smallest id, its own included, in which one of its dropped lines or a form near to it first occurs)."""
-    names = {n: safe_name(docs, n) for n in ("lines", "exact_dropped", "near_dropped", "line_kept", "n_links", "class_id")}
+    (counts), line_kept (false where all the text went) and, with `classes`, n_links (near links that its lines' forms have, and
+    one for each line that stands elsewhere too) and class_id (the smallest id that links of lines reach from it, its own
+    included; null for a null id)."""
+    names = {n: safe_name(docs, n) for n in ("lines", "exact_dropped", "near_dropped", "line_kept", *(["n_links", "class_id"] if classes else []))}
+    own_row, own_id, gone, places, left, linked, root = (safe_name(docs, f"__{n}") for n in ("row", "id", "gone", "places", "left", "links", "root"))
     row = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     lean = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), row.alias("row"), F.col(text_col).alias("text"))
     each = _forms(lean, min_chars if exact_chars is None else min(exact_chars, min_chars))
     occurrences = settle(each.select("id", "row", "at", "line", *[c.alias(n) for n, c in first_keys(F.col("form")).items()]))
-    lines = occurrences.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "row", "at")).alias("first"), *[F.first(n).alias(n) for n in KEY_NAMES])
+    lines = occurrences.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "row", "at")).alias("first"), F.min("id").alias("anchor"), *[F.first(n).alias(n) for n in KEY_NAMES])
     lines = settle(lines)
+    total = lines.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
     release(docs.sparkSession)
 
@@ -213,31 +234,36 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     links = settle(near_pairs(lines.where(F.col("size") >= min_chars).select("line", *KEY_NAMES), texts_of))
     release(docs.sparkSession)
-    firsts = lines.select("line", "first")
-    both = links.join(firsts.select(F.col("line").alias("a"), F.col("first").alias("fa")), "a").join(firsts.select(F.col("line").alias("b"), F.col("first").alias("fb")), "b")
-    ends = both.select(F.explode(F.array(F.struct(F.col("a").alias("line"), F.col("fa").alias("own"), F.col("fb").alias("other")), F.struct(F.col("b").alias("line"), F.col("fb").alias("own"), F.col("fa").alias("other")))).alias("e")).select("e.*")
+    firsts = lambda x: lines.select(F.col("line").alias(x), F.col("first").alias(f"f{x}"), F.col("anchor").alias(f"i{x}"))
+    both = links.join(firsts("a"), "a").join(firsts("b"), "b")
+    both = settle(both)
+    ends = both.select(F.explode(F.array(F.struct(F.col("a").alias("line"), F.col("fb").alias("other")), F.struct(F.col("b").alias("line"), F.col("fa").alias("other")))).alias("e")).select("e.*")
     near = ends.groupBy("line").agg(F.count(F.lit(1)).alias("links"), F.min("other").alias("earliest"))
-    judged = lines.select("line", "n", "first").join(near, "line", "left").where("n > 1 OR links > 0")
-    judged = judged.select("line", "first", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce(F.col("earliest") < F.col("first"), F.lit(False)).alias("near"), F.coalesce(F.least("earliest", "first"), F.col("first"))["id"].alias("origin"))
-    # A line that very many rows share is a skewed key here; its rows are narrow, and split as the join runs.
-    hits = occurrences.select("id", "row", "at", "line").join(judged, "line").withColumn("dropped", F.col("near") | (F.struct("id", "row", "at") != F.col("first")))
-    # Rows with the same id and text come as one group here; their places are the same, and count once.
-    own = F.array_distinct(F.collect_list(F.struct("at", "near", "dropped", "links")))
-    per_doc = hits.groupBy("id", "row").agg(own.alias("hits"), F.min(F.when(F.col("dropped"), F.col("origin"))).alias("origin"))
-    per_doc = per_doc.select(F.col("id").alias("__id"), F.col("row").alias("__own"), F.filter("hits", lambda x: x["dropped"]).alias("__gone"), F.aggregate("hits", F.lit(0).cast("long"), lambda n, x: n + x["links"]).alias("__links"), F.col("origin").alias("__origin"))
-    out = docs.withColumn("__row", row).join(per_doc, (F.col(id_col).eqNullSafe(F.col("__id"))) & (F.col("__row") == F.col("__own")), "left")
-    places = F.transform("__gone", lambda x: x["at"])
-    left = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains(F.col("__places"), i)), "\n")
-    changed = F.coalesce(F.size("__gone") > 0, F.lit(False))
-    out = out.withColumn("__places", places).withColumn("__left", F.when(changed, left).otherwise(F.col(text_col)))
-    count = lambda near: F.coalesce(F.size(F.filter("__gone", lambda x: x["near"] == near)), F.lit(0)).cast("long")
-    keep = [F.col("__left").alias(c) if c.lower() == text_col.lower() else F.col(f"`{c}`") for c in docs.columns]
-    return out.select(
-        *keep,
-        F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(text_col, "\n"))).cast("long").alias(names["lines"]),
-        F.when(changed, count(False)).otherwise(0).cast("long").alias(names["exact_dropped"]),
-        F.when(changed, count(True)).otherwise(0).cast("long").alias(names["near_dropped"]),
-        (~changed | (F.length(F.trim(F.col("__left"))) > 0)).alias(names["line_kept"]),
-        F.coalesce("__links", F.lit(0)).cast("long").alias(names["n_links"]),
-        F.least(F.col(id_col), F.col("__origin")).alias(names["class_id"]),
-    )
+    judged = lines.select("line", "n", "first", "anchor").join(near, "line", "left").where("n > 1 OR links > 0")
+    judged = settle(judged.select("line", "n", "first", "anchor", (F.coalesce("links", F.lit(0)) + (F.col("n") > 1).cast("int")).alias("links"), F.coalesce(F.col("earliest") < F.col("first"), F.lit(False)).alias("near")))
+    hits = _hits(occurrences.select("id", "row", "at", "line"), judged, total).withColumn("dropped", F.col("near") | (F.struct("id", "row", "at") != F.col("first")))
+    # Rows with the same id and text come as one group here; their places are the same, and a set holds each of them once.
+    per_doc = hits.groupBy("id", "row").agg(F.collect_set(F.struct("at", "near", "dropped", "links")).alias("hits"), *([F.collect_set("anchor").alias("anchors")] if classes else []))
+    taken = F.filter("hits", lambda x: x["dropped"])
+    per_doc = per_doc.select(F.col("id").alias(own_id), F.col("row").alias(own_row), taken.alias(gone), F.aggregate("hits", F.lit(0).cast("long"), lambda n, x: n + x["links"]).alias(linked), *(["anchors"] if classes else []))
+    if classes:
+        per_doc = settle(per_doc)
+        edges = per_doc.select(F.col(own_id).alias("a"), F.explode("anchors").alias("b")).unionByName(both.select(F.col("ia").alias("a"), F.col("ib").alias("b")))
+        reached = components(edges.where("a != b").distinct()).select(F.col("id").alias(own_id), F.col("root").alias(root))
+        per_doc = per_doc.drop("anchors").join(reached, own_id, "left")
+    again = safe_name(docs, "__row_of")
+    out = docs.withColumn(again, row).join(per_doc, (F.col(id_col).eqNullSafe(F.col(own_id))) & (F.col(again) == F.col(own_row)), "left")
+    changed = F.coalesce(F.size(gone) > 0, F.lit(False))
+    out = out.withColumn(places, F.transform(gone, lambda x: x["at"]))
+    out = out.withColumn(left, F.when(changed, _without_places(F.col(text_col), F.col(places))).otherwise(F.col(text_col)))
+    count = lambda near: F.coalesce(F.size(F.filter(gone, lambda x: x["near"] == near)), F.lit(0)).cast("long")
+    keep = [F.col(left).alias(c) if c.lower() == text_col.lower() else F.col(f"`{c}`") for c in docs.columns]
+    found = {
+        "lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(text_col, "\n"))).cast("long"),
+        "exact_dropped": F.when(changed, count(False)).otherwise(0).cast("long"),
+        "near_dropped": F.when(changed, count(True)).otherwise(0).cast("long"),
+        "line_kept": ~changed | (F.length(F.trim(F.col(left))) > 0),
+    }
+    if classes:
+        found |= {"n_links": F.coalesce(linked, F.lit(0)).cast("long"), "class_id": F.coalesce(root, id_col)}
+    return out.select(*keep, *[c.alias(names[n]) for n, c in found.items()])

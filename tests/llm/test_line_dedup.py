@@ -46,19 +46,27 @@ def brute(rows, least):
     return out
 
 
-def classes_and_links(rows, least):
-    """For each document: the smallest id in which a dropped line, or a form near to it, first occurs; its lines' near links."""
-    first, own = {}, {}
+def classes_and_links(rows, least, exact=None):
+    """For each document: the smallest id that shared lines and near forms reach, and its lines' links."""
+    first, own, holders = {}, {}, {}
     for i, text in sorted(rows, key=lambda r: r[0]):
-        own[i] = [(at, form(x)) for at, x in enumerate((text or "").split("\n")) if len(form(x)) >= least]
+        own[i] = [(at, form(x)) for at, x in enumerate((text or "").split("\n")) if len(form(x)) >= (least if exact is None else exact)]
         for at, f in own[i]:
             first.setdefault(f, (i, at))
-    near = {a: [b for b in first if b != a and abs(len(a) - len(b)) <= 1 and distance(a, b) <= 1] for a in first}
-    classes, links = {}, {}
-    for i, forms in own.items():
-        origins = [min([first[f], *[first[b] for b in near[f]]])[0] for at, f in forms if first[f] != (i, at) or any(first[b] < first[f] for b in near[f])]
-        classes[i], links[i] = min([i, *origins]), sum(len(near[f]) for _, f in forms)
-    return classes, links
+            holders.setdefault(f, []).append(i)
+    near = {a: [b for b in first if b != a and min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= 1 and distance(a, b) <= 1] for a in first}
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for f, ids in holders.items():
+        for j in [*ids, *[first[b][0] for b in near[f]]]:
+            x, y = find(ids[0]), find(j)
+            root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in root}, {i: sum(len(near[f]) + (len(holders[f]) > 1) for _, f in forms) for i, forms in own.items()}
 
 
 def result(df):
@@ -122,6 +130,23 @@ def test_edges(spark):
     assert got == [("1", "", False, "x"), ("2", "", False, "x"), ("2", "", False, "x"), ("3", "short\nshort", True, "x"), ("None", line, True, "x")]
 
 
+def test_classes_are_components(spark):
+    a, b, c = ("line number one that is shared by some", "line number two, which others have", "a third one that stands nowhere else")
+    rows = [(1, a), (2, f"{a}\n{b}"), (3, b), (4, c), (5, c[:-1]), (6, None)]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ld.line_dedup(docs(spark, rows)).collect()}
+    assert got == {1: (1, 1), 2: (1, 2), 3: (1, 1), 4: (4, 1), 5: (4, 1), 6: (6, 0)}
+
+
+def test_hidden_names_and_repeated_rows(spark):
+    line = "a line that is long enough to be judged here"
+    df = docs(spark, [(1, line), (2, line), (2, line), (None, line), (None, line)])
+    df = df.withColumns({n: F.lit(7) for n in ("__row", "__id", "__gone", "__places", "__left", "__links", "__root", "__row_of", "anchors", "line", "hits", "n")})
+    out = ld.line_dedup(df)
+    assert out.columns[: len(df.columns)] == df.columns
+    got = sorted((str(r["doc_id"]), r["text"], str(r["class_id"]), r["__row"], r["__root"]) for r in out.collect())
+    assert got == [("1", "", "1", 7, 7), ("2", "", "1", 7, 7), ("2", "", "1", 7, 7), ("None", line, "None", 7, 7), ("None", line, "None", 7, 7)]
+
+
 def test_query_drops_exact_repeats_of_short_lines(spark, tmp_path):
     rows = [(1, "all rights reserved.\nown"), (2, "All  rights reserved.\n\nother"), (3, "all rights reserved!"), (4, "x\nx")]
     docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
