@@ -7,7 +7,6 @@ stage's rows stay, as a checkpoint that Spark deletes with them.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import public_tokenizers
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 from captionloom.llm import bpe, decontamination, line_dedup, near_dedup, toxicity
 from captionloom.llm.common import crc_of_id, read, settle, without
 from captionloom.llm.queries import RANK_FILE
+from captionloom.operators.lineage import shared_folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +28,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that an earlier line repeats; documents that lose all their text go."""
-    out = line_dedup.line_dedup(docs).where("line_kept")
+    """Texts without the lines that an earlier line repeats, short ones too; documents that lose all their text go."""
+    out = line_dedup.line_dedup(docs, exact_chars=1, classes=False).where("line_kept")
     return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*docs.columns)
 
 
@@ -69,8 +69,12 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole documents table."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="captionloom-pipeline-")
+    """All stages over the whole documents table.
+
+    Null and empty texts go through all stages and have no tokens; repeated rows with the same id go or stay together; null ids
+    stay; an empty table gives no rows; further columns pass through all stages but the last.
+    """
+    shared = shared_folder(spark)
     base = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs, last = read(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES[:-1]):
