@@ -21,13 +21,14 @@ def distance(a, b):
     return row[-1]
 
 
-def brute(rows, least):
-    first = {}
+def brute(rows, least, exact=None):
+    first, exact = {}, least if exact is None else exact
     for i, text in sorted(rows, key=lambda r: r[0]):
         for at, line in enumerate((text or "").split("\n")):
-            if len(form(line)) >= least:
+            if len(form(line)) >= exact:
                 first.setdefault(form(line), (i, at))
-    late = {a for a in first for b in first if a != b and abs(len(a) - len(b)) <= 1 and first[b] < first[a] and distance(a, b) <= 1}
+    long = [f for f in first if len(f) >= least]
+    late = {a for a in long for b in long if a != b and abs(len(a) - len(b)) <= 1 and first[b] < first[a] and distance(a, b) <= 1}
     out = {}
     for i, text in rows:
         if text is None:

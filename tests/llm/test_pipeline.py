@@ -16,7 +16,7 @@ def brute(spark, rows):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     model = toxicity.train(docs(spark, rows), labels, learn=F.pmod(crc_of_id(), F.lit(5)) != 0)
     rows = [(i, t) for i, t in rows if model.score(t) < 0.5]
-    lines = test_line_dedup.brute(rows, 30)
+    lines = test_line_dedup.brute(rows, 30, 1)
     rows = [(i, lines[i][0]) for i, t in rows if t is None or lines[i][0] == t or lines[i][0].strip(" ")]
     near = test_near_dedup.brute(rows)
     rows = [(i, t) for i, t in rows if near[i][2]]
