@@ -9,7 +9,7 @@ from captionloom.functions.textops import base64_plain
 
 # File kinds.
 IMAGE_SUFFIXES = ("jpg", "jpeg", "png", "webp", "gif", "bmp", "tiff")
-URL_SUFFIXES = ("jpg", "jpeg", "png", "gif", "webp", "bmp", "tiff", "svg")
+URL_SUFFIXES = ("jpg", "jpeg", "png", "gif", "webp", "bmp", "tiff", "avif")
 MIME = {"jpg": "image/jpeg", "jpeg": "image/jpeg", "png": "image/png", "gif": "image/gif", "webp": "image/webp"}
 SPLITS = {"train": "train", "validation": "val", "test": "test"}
 
@@ -43,8 +43,10 @@ def is_number_name(name: Column) -> Column:
 
 
 def unquoted_path(url: Column) -> Column:
-    """The URL's path with %XX decoded; a plus sign stays."""
-    return F.url_decode(F.replace(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1), F.lit("+"), F.lit("%2B")))
+    """The URL's path with %XX decoded; a plus sign and a percent sign without two hex digits stay."""
+    path = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
+    whole = F.regexp_replace(path, r"%(?![0-9A-Fa-f]{2})", "%25")
+    return F.url_decode(F.replace(whole, F.lit("+"), F.lit("%2B")))
 
 
 def _last_part(url: Column) -> Column:
@@ -86,6 +88,12 @@ def shard_of(position: Column, shards: int) -> Column:
     return F.pmod(position - 1, F.lit(shards)).cast("int")
 
 
+def load_outcome(failed: Column, error: Column, label: Column) -> tuple[Column, Column]:
+    """(error, label) of an item: where it failed to load its error and label -1, else no error and its own label."""
+    failed = F.coalesce(failed, F.lit(False))
+    return F.when(failed, error), F.when(failed, F.lit(-1)).otherwise(label).cast("int")
+
+
 def share_of(total: Column, rank: Column, ranks: int) -> Column:
     """Rows of a rank where the total is dealt out evenly."""
     return (F.floor(total / ranks) + F.when(rank < F.pmod(total, F.lit(ranks)), 1).otherwise(0)).cast("long")

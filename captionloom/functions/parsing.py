@@ -249,14 +249,14 @@ def parse_json_fields(text: Column, fields: tuple[Field, ...] = DEFAULT_FIELDS)
     list field cannot hold becomes 0 or a list of one."""
 
     def judge(s: Column) -> Column:
-        v = F.try_parse_json(s["json"])
+        v = s["v"]
         own = {f.name: _json_field(v, f) for f in fields}
         missing = _missing(fields, lambda f: F.coalesce(own[f.name][0], F.lit(False)))
         data = F.struct(*[own[f.name][1].cast(SQL_KINDS.get(f.kind, "string")).alias(f.name) for f in fields])
         error = F.when(v.isNull(), "Invalid JSON").when(missing != "", F.concat(F.lit("Missing required fields: "), missing))
         return result(error.isNull(), F.when(v.isNotNull(), data), error, text)
 
-    return F.get(F.transform(F.array(F.struct(extracted_json(text).alias("json"))), judge), F.lit(0))
+    return F.get(F.transform(F.array(F.struct(F.try_parse_json(extracted_json(text)).alias("v"))), judge), F.lit(0))
 
 
 def json_instruction(fields: tuple[Field, ...] = DEFAULT_FIELDS) -> str:

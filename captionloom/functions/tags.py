@@ -46,6 +46,11 @@ def distinct_sorted(items: Column) -> Column:
     return F.array_sort(F.array_distinct(items))
 
 
+def prompt_tags(mode: Column, text: Column) -> Column:
+    """The tags that go to the prompt: in `context` mode alone; in `parallel` mode they are only saved."""
+    return F.when(mode == "context", text)
+
+
 def names(scored: Column) -> Column:
     return F.transform(scored, lambda x: x["tag"])
 

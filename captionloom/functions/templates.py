@@ -99,8 +99,8 @@ def variables_of(template: Column) -> Column:
 
 
 def missing_variables(template: str, given: set[str]) -> list[str]:
-    """First parts of names that have no default and are not given, as often as they are written."""
-    return [v.name.split(".")[0] for v in variables(template) if v.default is None and v.name.split(".")[0] not in given]
+    """Whole names without a default whose first part is not given, as often as they are written."""
+    return [v.name for v in variables(template) if v.default is None and v.name.split(".")[0] not in given]
 
 
 @dataclass(frozen=True)
@@ -120,7 +120,7 @@ class Prompt:
 
 CAPTION = Prompt("caption", "Provide a structured caption for this image.\n\n{context:}\n\n{instruction:}")
 DETAILED = Prompt("detailed", "Describe this image in detail: subjects, setting, colors, mood and style.\n\n{context:}\n\n{instruction:}")
-CUSTOM = Prompt("custom", "{prompt}\n\n{context:}\n\n{instruction:}", ("prompt",))
+CUSTOM = Prompt("custom", "{prompt}", ("prompt",))
 
 
 # Chat layouts that model families were trained with, without and with a system text.

@@ -38,9 +38,8 @@ def json_object() -> Validator:
 def model(fields: tuple[Field, ...], strict: bool = False) -> Validator:
     """A typed object: required fields present and of their kind. Lax mode takes numbers from strings."""
 
-    def run(c: Column) -> Column:
-        text = fenced_json(c)
-        v = F.try_parse_json(text)
+    def judge(s: Column) -> Column:
+        text, v = s["text"], s["v"]
         problems = []
         for f in fields:
             own = F.try_variant_get(v, f"$.{f.name}", "variant")
@@ -61,6 +60,11 @@ def model(fields: tuple[Field, ...], strict: bool = False) -> Validator:
         value = parse_json_fields(text, fields)["data"]
         return verdict(error.isNull(), value, error)
 
+    def run(c: Column) -> Column:
+        # Parsed once, under a name, for all fields.
+        own = F.struct(fenced_json(c).alias("text"), F.try_parse_json(fenced_json(c)).alias("v"))
+        return F.get(F.transform(F.array(own), judge), F.lit(0))
+
     return run
 
 

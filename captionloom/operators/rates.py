@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from captionloom.functions.textops import fixed
@@ -14,12 +14,19 @@ def _micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def speed(ticks: DataFrame, ts: str, *order: str, by: tuple[str, ...] = (), last: int = 20, weight: str | None = None) -> DataFrame:
+def _parted(by: tuple[str, ...]) -> WindowSpec:
+    if not by:
+        raise ValueError("name the columns that part the log")
+    return Window.partitionBy(*by)
+
+
+def speed(ticks: DataFrame, ts: str, *order: str, by: tuple[str, ...], last: int = 20, weight: str | None = None) -> DataFrame:
     """Adds `rate`: items a second over the last ticks; zero before the second tick and where no time has passed.
 
+    `by` names the columns (a run, a worker) that part the log: without any, all of it would be one task's.
     Without weights n ticks are n - 1 items; with weights the first tick's items do not count.
     """
-    frame = Window.partitionBy(*by).orderBy(ts, *order).rowsBetween(1 - last, 0)
+    frame = _parted(by).orderBy(ts, *order).rowsBetween(1 - last, 0)
     at = _micros(F.col(ts))
     done = F.count(F.lit(1)).over(frame) - 1 if weight is None else F.sum(weight).over(frame) - F.first_value(weight).over(frame)
     passed = (F.max(at).over(frame) - F.min(at).over(frame)) / 1e6
@@ -33,9 +40,9 @@ def eta(remaining: Column, rate: Column) -> Column:
     return F.when(rate <= 0, "?").when(seconds < 60, F.concat(fixed(seconds, 0), F.lit("s"))).when(seconds < 3600, F.concat(fixed(seconds / 60, 1), F.lit("m"))).otherwise(F.concat(fixed(seconds / 3600, 1), F.lit("h")))
 
 
-def running(log: DataFrame, ts: str, *order: str, by: tuple[str, ...] = (), success: str = "success", latency: str = "latency_ms") -> DataFrame:
+def running(log: DataFrame, ts: str, *order: str, by: tuple[str, ...], success: str = "success", latency: str = "latency_ms") -> DataFrame:
     """The log with the totals up to each request."""
-    frame = Window.partitionBy(*by).orderBy(ts, *order).rowsBetween(Window.unboundedPreceding, 0)
+    frame = _parted(by).orderBy(ts, *order).rowsBetween(Window.unboundedPreceding, 0)
     return log.withColumns({"requests_so_far": F.count(F.lit(1)).over(frame), "successes_so_far": F.count_if(F.col(success)).over(frame), "latency_so_far": F.sum(latency).over(frame)})
 
 

@@ -6,10 +6,12 @@ import os
 import random
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Protocol
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -40,7 +42,8 @@ class EchoBackend:
 
 @dataclass(frozen=True)
 class Retry:
-    """Attempts and pauses; every call ends at the deadline, rate limits included."""
+    """Attempts and pauses; every call ends at the deadline, rate limits included. Rate limits use up no attempt, but pause
+    longer each time and count as retries; `place` tells calls apart, so that no two workers pause alike."""
 
     attempts: int = 3
     delay: float = 1.0
@@ -50,23 +53,24 @@ class Retry:
     seed: int = 0
     sleep: Callable[[float], None] = field(default=time.sleep, compare=False)
 
-    def call(self, run: Callable[[], list[str]]) -> tuple[list[str] | None, str | None, int]:
+    def call(self, run: Callable[[], list[str]], place: str = "") -> tuple[list[str] | None, str | None, int]:
         """(answers, error, retries)."""
-        rng, ends = random.Random(self.seed), time.monotonic() + self.deadline
-        delay, used = self.delay, 0
+        rng, ends = random.Random(f"{self.seed} {place}"), time.monotonic() + self.deadline
+        delay, used, limited = self.delay, 0, 0
         while True:
             try:
-                return run(), None, used
+                return run(), None, used + limited
             except RateLimited as e:
                 error, wait = str(e) or "rate limited", min(delay * rng.uniform(0.5, 1.5), self.longest)
+                limited += 1
             except Exception as e:  # the backend's failures are the row's error
                 error, wait = str(e) or type(e).__name__, min(delay, self.longest)
                 used += 1
-                delay *= self.factor
                 if used > self.attempts:
-                    return None, error, used - 1
+                    return None, error, used - 1 + limited
             if time.monotonic() + wait > ends:
-                return None, f"{error} (deadline)", used
+                return None, f"{error} (deadline)", used + limited
+            delay = min(delay * self.factor, self.longest)
             self.sleep(wait)
 
 
@@ -88,22 +92,23 @@ def generate(df: DataFrame, make: Callable[[], Backend], key: str, prompt: str =
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        backend = _built(make, key)
+        backend, part, at = _built(make, key), TaskContext.get().partitionId(), 0
         for whole in batches:
             for lo in range(0, len(whole), batch):
                 rows = whole.iloc[lo : lo + batch]
                 prompts = rows[prompt].fillna("").tolist()
                 images = rows[image].tolist() if image else [None] * len(rows)
                 began = time.monotonic()
-                answers, _, used = retry.call(lambda p=prompts, i=images: backend.generate(p, i)) if len(rows) > 1 else (None, None, 0)
+                at += len(rows)
+                answers, _, used = retry.call(lambda p=prompts, i=images: backend.generate(p, i), f"{part} {at}") if len(rows) > 1 else (None, None, 0)
                 took = (time.monotonic() - began) * 1000 / len(rows)
                 if answers is not None:
                     made = [(a, True, None, used, took) for a in answers]
                 else:
                     made = []
-                    for p, i in zip(prompts, images, strict=True):
+                    for n, (p, i) in enumerate(zip(prompts, images, strict=True)):
                         began = time.monotonic()
-                        one, error, used = retry.call(lambda p=p, i=i: backend.generate([p], [i]))
+                        one, error, used = retry.call(lambda p=p, i=i: backend.generate([p], [i]), f"{part} {at} {n}")
                         made.append((one[0] if one else None, one is not None, error, used, (time.monotonic() - began) * 1000))
                 raw, ok, errors, retries, latency = zip(*made, strict=True)
                 yield rows.assign(raw=list(raw), success=list(ok), error=list(errors), retries=list(retries), latency_ms=list(latency))
@@ -119,13 +124,15 @@ BASE_URLS = {"openai": "https://api.openai.com/v1", "openrouter": "https://openr
 
 @dataclass(frozen=True)
 class ChatBackend:
-    """A chat-completions service; the key is read on the worker, from the environment, unless it is given."""
+    """A chat-completions service; the key is read on the worker, from the environment, unless it is given. A batch's requests
+    run side by side, `concurrency` at a time, and its answers come in the order of its rows."""
 
     provider: str
     model: str
     key: str | None = None
     base_url: str | None = None
     timeout: float = 60.0
+    concurrency: int = 5
     options: tuple[tuple[str, object], ...] = ()
 
     def settings(self) -> dict:
@@ -142,19 +149,21 @@ class ChatBackend:
             content.append({"type": "image_url", "image_url": {"url": image, "detail": "auto"}})
         return {"model": self.model, "messages": [{"role": "user", "content": content}], **dict(self.options)}
 
-    def generate(self, prompts: list[str], images: list[str | None]) -> list[str]:
+    def ask(self, prompt: str, image: str | None) -> str:
         import json
         import urllib.error
         import urllib.request
 
-        own, out = self.settings(), []
-        for p, i in zip(prompts, images, strict=True):
-            request = urllib.request.Request(own["url"], json.dumps(self.body(p, i)).encode(), own["headers"])
-            try:
-                with urllib.request.urlopen(request, timeout=self.timeout) as answer:
-                    out.append(json.load(answer)["choices"][0]["message"]["content"])
-            except urllib.error.HTTPError as e:
-                if e.code == 429:
-                    raise RateLimited(str(e)) from e
-                raise
-        return out
+        own = self.settings()
+        request = urllib.request.Request(own["url"], json.dumps(self.body(prompt, image)).encode(), own["headers"])
+        try:
+            with urllib.request.urlopen(request, timeout=self.timeout) as answer:
+                return json.load(answer)["choices"][0]["message"]["content"]
+        except urllib.error.HTTPError as e:
+            if e.code == 429:
+                raise RateLimited(str(e)) from e
+            raise
+
+    def generate(self, prompts: list[str], images: list[str | None]) -> list[str]:
+        with ThreadPoolExecutor(self.concurrency) as pool:
+            return list(pool.map(self.ask, prompts, images))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from captionloom.functions import contexts, tags, templates
 from captionloom.functions.parsing import KeyValueFormat
+from captionloom.functions.validating import Validator
 from captionloom.operators.joins import skip_existing
 from captionloom.operators.lineage import settle
 from captionloom.plans.backends import Backend, Retry, generate
@@ -21,11 +22,11 @@ def build_prompt(prompt: templates.Prompt, fmt: KeyValueFormat, engine: template
     return made if tag_lines is None else tags.with_tags(made, tag_lines)
 
 
-def caption(items: DataFrame, make: Callable[[], Backend], key: str, fmt: KeyValueFormat | None = None, done: DataFrame | None = None, item_key: str = "image_id", image: str | None = None, validation_retries: int = 2, batch: int = 8, retry: Retry = Retry()) -> DataFrame:  # noqa: B008
+def caption(items: DataFrame, make: Callable[[], Backend], key: str, fmt: KeyValueFormat | None = None, done: DataFrame | None = None, item_key: str = "image_id", image: str | None = None, validation_retries: int = 2, validator: Validator | None = None, batch: int = 8, retry: Retry = Retry()) -> DataFrame:  # noqa: B008
     """items (with `prompt`) to success, data, error, raw, retries, latency_ms, passes.
 
-    Finished items are left out first. What the model answers is parsed; rows whose answer does not parse are asked
-    again, in passes of their own over those rows alone, while rows whose call failed are final at once. Answers are
+    Finished items are left out first. What the model answers is parsed, and judged by the validator if there is one; rows
+    whose answer does not parse or is not valid are asked again, in passes of their own over those rows alone, while rows whose call failed are final at once. Answers are
     settled after each pass, so nothing is generated twice.
     """
     fmt = fmt or KeyValueFormat()
@@ -35,8 +36,10 @@ def caption(items: DataFrame, make: Callable[[], Backend], key: str, fmt: KeyVal
     for k in range(validation_retries + 1):
         answered = generate(todo, make, key, image=image, batch=batch, retry=retry)
         parsed = answered.withColumn("__parsed", fmt.parse(F.col("raw"))).withColumn("passes", F.lit(k + 1))
-        error = F.when(F.col("success"), F.col("__parsed.error")).otherwise(F.col("error"))
-        rows = parsed.select(*base, (F.col("success") & F.col("__parsed.success")).alias("success"), F.col("success").alias("called"), F.when(F.col("success"), F.col("__parsed.data")).alias("data"), error.alias("error"), "raw", "retries", "latency_ms", "passes")
+        judged = validator(F.col("raw")) if validator else F.struct(F.lit(True).alias("valid"), F.lit(None).cast("string").alias("error"))
+        parsed = parsed.withColumn("__judged", judged)
+        error = F.when(F.col("success"), F.coalesce("__parsed.error", "__judged.error")).otherwise(F.col("error"))
+        rows = parsed.select(*base, (F.col("success") & F.col("__parsed.success") & F.col("__judged.valid")).alias("success"), F.col("success").alias("called"), F.when(F.col("success"), F.col("__parsed.data")).alias("data"), error.alias("error"), "raw", "retries", "latency_ms", "passes")
         rows = settle(rows)
         again = rows.where("called AND NOT success")
         if k == validation_retries or again.isEmpty():

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from captionloom.functions import templates
+from captionloom.functions import tags, templates
 from captionloom.functions.parsing import KeyValueFormat
 from captionloom.plans.backends import EchoBackend, Retry
 from captionloom.plans.captioning import build_prompt, caption
@@ -43,4 +43,4 @@ def built_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tag_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tags go to the prompt in context mode alone; they are saved in both modes."""
     mode = F.when(F.col("doc_id") % 2 == 0, "context").otherwise("parallel")
-    return table(spark, sf_dir, "documents").select("doc_id", F.when(mode == "context", F.col("lang")).alias("prompt_tags"), F.col("lang").alias("saved_tags"))
+    return table(spark, sf_dir, "documents").select("doc_id", tags.prompt_tags(mode, F.col("lang")).alias("prompt_tags"), F.col("lang").alias("saved_tags"))

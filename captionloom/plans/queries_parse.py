@@ -130,18 +130,53 @@ def validate_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("p_partkey", "r.valid", "r.error", F.col("r.value.score").alias("score"))
 
 
-_RULES = {"type": "object", "required": ["title", "kind"], "properties": {"score": {"type": "number", "maximum": 3}, "title": {"type": "string", "pattern": "^Brand"}}}
+@query("""
+    SELECT p_partkey, p_partkey % 11 <> 0 AND p_partkey % 4 >= 2 AND p_partkey % 5 <> 0 AS valid,
+           CASE WHEN p_partkey % 11 = 0 THEN 'Invalid JSON' WHEN p_partkey % 4 < 2 AND p_partkey % 5 = 0 THEN 'Validation error: score, kind'
+                WHEN p_partkey % 4 < 2 THEN 'Validation error: score' WHEN p_partkey % 5 = 0 THEN 'Validation error: kind' END AS error
+    FROM part""")
+def validate_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A number written as a string does not count."""
+    got = _object(spark, sf_dir).select("p_partkey", validating.model(_BASIC, strict=True)(F.col("text")).alias("r"))
+    return got.select("p_partkey", "r.valid", "r.error")
+
+
+_RULES = {
+    "type": "object",
+    "required": ["title", "kind"],
+    "properties": {"score": {"type": "number", "minimum": 0.2, "maximum": 3}, "title": {"type": "string", "pattern": "^Brand#[1-3]"}, "kind": {"enum": ["a", "b"]}, "tags": {"type": "array", "items": {"type": "string"}}},
+}
 
 
 @query("""
     SELECT p_partkey, CASE WHEN p_partkey % 11 = 0 THEN 'Invalid JSON' ELSE nullif(concat_ws('; ', CASE WHEN p_partkey % 5 = 0 THEN 'kind is required' END,
-           CASE WHEN p_partkey % 4 < 2 THEN 'score is not of type number' WHEN p_size > 30 THEN 'score is greater than 3' END), '') END AS error
+           CASE WHEN p_partkey % 4 = 0 THEN 'score is not of type number' WHEN p_size < 2 THEN 'score is less than 0.2' WHEN p_size > 30 THEN 'score is greater than 3' END,
+           CASE WHEN NOT regexp_matches(p_brand, '^Brand#[1-3]') THEN 'title does not match' END,
+           CASE WHEN p_partkey % 5 <> 0 AND p_partkey % 3 = 0 THEN 'kind is not one of the allowed values' END,
+           CASE WHEN p_partkey % 6 = 0 THEN 'tags has items of another type' WHEN p_partkey % 6 = 1 THEN 'tags is not of type array' END), '') END AS error
     FROM part""")
 def validate_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = _object(spark, sf_dir).select("p_partkey", validating.schema(_RULES | {"properties": {"score": _RULES["properties"]["score"]}})(F.col("text")).alias("r"))
+    key = F.col("p_partkey")
+    score = F.when(key % 4 == 0, '"high"').otherwise(F.format_string("%.2f", F.col("p_size") / 10))
+    kind = F.when(key % 5 == 0, "").otherwise(F.concat(F.lit(', "kind": "'), F.when(key % 3 == 0, "z").otherwise("a"), F.lit('"')))
+    own = F.when(key % 6 == 0, "[1, 2]").when(key % 6 == 1, '"x"').otherwise('["x"]')
+    text = F.concat(F.lit('{"title": "'), "p_brand", F.lit('", "score": '), score, kind, F.lit(', "tags": '), own, F.when(key % 11 == 0, "").otherwise("}"))
+    got = table(spark, sf_dir, "part").select("p_partkey", validating.schema(_RULES)(text).alias("r"))
     return got.select("p_partkey", "r.error")
 
 
+@query("""
+    SELECT event_id, CASE WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) % 2 = 0 AND event_type = 'error' THEN 'error' END AS value,
+           CAST(json_extract_string(props, '$.k') AS BIGINT) % 2 = 0 AND event_type = 'error' AS valid,
+           CASE WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) % 2 = 1 THEN 'odd' WHEN event_type <> 'error' THEN 'no error' END AS error
+    FROM events""")
+def validate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    text = F.concat(F.when(k % 2 == 0, "even").otherwise("none"), F.lit(" "), F.col("event_type"))
+    got = validating.all_of(validating.regex("even", 0, "odd"), validating.regex("error", 0, "no error"))(text)
+    return table(spark, sf_dir, "events").select("event_id", got["value"].alias("value"), got["valid"].alias("valid"), got["error"].alias("error"))
+
+
 @query("""
     SELECT event_id, CASE WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) % 2 = 0 THEN 'even' WHEN event_type = 'error' THEN 'error' END AS value,
            CAST(json_extract_string(props, '$.k') AS BIGINT) % 2 = 0 OR event_type = 'error' AS valid,

@@ -121,13 +121,35 @@ _MODELS = ("google/Gemma-3n-E4B", "google/gemma-3-27b", "llava-v1.6-7b", "llava-
 _NAMES = ("gemma-3n", "gemma-3", "llava-next", "llava-1.5", "qwen2-vl", "internvl", "default")
 
 
+_SYSTEM = "CASE WHEN turn % 2 = 0 THEN {} ELSE {} END"
+_N = "' || chr(10) || '"
+
+
+def _layout(before: str, after: str, system_before: str | None = None) -> str:
+    """SQL of one family: the system text before the prompt, or in a turn of its own."""
+    with_system = f"'{before}be brief{_N}{_N}' || role || '{after}'" if system_before is None else f"'{system_before}be brief<|im_end|>{_N}{before}' || role || '{after}'"
+    return _SYSTEM.format(with_system, f"'{before}' || role || '{after}'")
+
+
+_GEMMA, _QWEN = f"<end_of_turn>{_N}<start_of_turn>model{_N}", f"<|im_end|>{_N}<|im_start|>assistant{_N}"
+_LAYOUTS = (
+    _layout(f"<start_of_turn>user{_N}<image_soft_token>", _GEMMA),
+    _layout(f"<bos><start_of_turn>user{_N}<start_of_image>", _GEMMA),
+    _layout(f"[INST] <image>{_N}", " [/INST]"),
+    _layout(f"USER: <image>{_N}", f"{_N}ASSISTANT:"),
+    _layout(f"<|im_start|>user{_N}<|vision_start|><|image_pad|><|vision_end|>", _QWEN, f"<|im_start|>system{_N}"),
+    _layout(f"<|im_start|>user{_N}<image>{_N}", _QWEN, f"<|im_start|>system{_N}"),
+    _layout(f"<image>{_N}", ""),
+)
+
+
 @query(f"""
     SELECT conv_id, turn, list_extract({list(_NAMES)!r}, CAST((conv_id + turn) % 7 + 1 AS INTEGER)) AS family,
-           CASE WHEN (conv_id + turn) % 7 = 3 THEN 'USER: <image>' || chr(10) || role || chr(10) || 'ASSISTANT:' WHEN (conv_id + turn) % 7 = 6 THEN '<image>' || chr(10) || role END AS prompt
+           CASE (conv_id + turn) % 7 {" ".join(f"WHEN {k} THEN {x}" for k, x in enumerate(_LAYOUTS))} END AS prompt
     FROM conversations""")
 def model_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seven families, with a system text in even turns."""
     k = (F.col("conv_id") + F.col("turn")) % 7
-    name = F.get(F.array(*[F.lit(m) for m in _MODELS]), k.cast("int"))
-    family = templates.model_family(name)
-    made = templates.chat_prompt(family, F.col("role"))
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", family.alias("family"), F.when(k.isin(3, 6), made).alias("prompt"))
+    family = templates.model_family(F.get(F.array(*[F.lit(m) for m in _MODELS]), k.cast("int")))
+    made = templates.chat_prompt(family, F.col("role"), F.when(F.col("turn") % 2 == 0, "be brief"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", family.alias("family"), made.alias("prompt"))

@@ -30,13 +30,13 @@ def speed_monitor50(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 1 THEN '?' WHEN l_quantity * 16 / l_linenumber < 60 THEN printf('%.0f', round(l_quantity * 16 / l_linenumber, 6)) || 's'
-           WHEN l_quantity * 16 / l_linenumber < 3600 THEN printf('%.1f', round(l_quantity * 16 / l_linenumber / 60, 6)) || 'm' ELSE 'late' END AS eta
-    FROM lineitem WHERE l_linenumber IN (1, 2, 4)""")
+    SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 1 THEN '?' WHEN s < 60 THEN printf('%.0f', s) || 's' WHEN s < 3600 THEN printf('%.1f', s / 60) || 'm' ELSE printf('%.1f', s / 3600) || 'h' END AS eta
+    FROM (SELECT *, l_quantity * CASE WHEN l_suppkey % 2 = 0 THEN 400 ELSE 1 END * 16 / l_linenumber AS s FROM lineitem)""")
 def remaining_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber").isin(1, 2, 4))
+    """Seconds, minutes and hours; lines of number 1 have no rate."""
     rate = F.when(F.col("l_linenumber") == 1, 0.0).otherwise(F.col("l_linenumber") / 16)
-    return items.select("l_orderkey", "l_linenumber", rates.eta(F.col("l_quantity"), rate).alias("eta"))
+    left = F.col("l_quantity") * F.when(F.col("l_suppkey") % 2 == 0, 400).otherwise(1)
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", rates.eta(left, rate).alias("eta"))
 
 
 @query("""

@@ -55,16 +55,17 @@ def class_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PATH = "regexp_extract(u, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1)"
 _LAST = f"regexp_extract({_PATH}, '([^/]*)$', 1)"
 _SUFFIX = f"lower(regexp_extract({_LAST}, '\\.([^.]*)$', 1))"
-_KIND = f"CASE WHEN {_SUFFIX} = 'jpeg' THEN 'jpg' WHEN {_SUFFIX} IN ('jpg', 'png', 'gif', 'webp', 'bmp', 'tiff', 'svg') THEN {_SUFFIX} ELSE 'jpg' END"
-_URLS = "SELECT page_id, CASE page_id % 4 WHEN 0 THEN url WHEN 1 THEN split_part(url, '?', 1) || '/a+b.PNG?x=1' WHEN 2 THEN split_part(split_part(url, '?', 1), '#', 1) || '/p.JPEG' ELSE split_part(split_part(url, '?', 1), '#', 1) || '/q:1.tar.gz' END AS u FROM pages"
+_KIND = f"CASE WHEN {_SUFFIX} = 'jpeg' THEN 'jpg' WHEN {_SUFFIX} IN ('jpg', 'png', 'gif', 'webp', 'bmp', 'tiff', 'avif') THEN {_SUFFIX} ELSE 'jpg' END"
+_URLS = "SELECT page_id, CASE page_id % 7 WHEN 0 THEN url WHEN 1 THEN split_part(url, '?', 1) || '/a+b.PNG?x=1' WHEN 2 THEN split_part(split_part(url, '?', 1), '#', 1) || '/p.JPEG' WHEN 3 THEN split_part(split_part(url, '?', 1), '#', 1) || '/r.AVIF' WHEN 4 THEN split_part(split_part(url, '?', 1), '#', 1) || '/s.svg' WHEN 5 THEN split_part(split_part(url, '?', 1), '#', 1) || '/100%zz%.webp' ELSE split_part(split_part(url, '?', 1), '#', 1) || '/q:1.tar.gz' END AS u FROM pages"
 
 
 @query(f"SELECT page_id, {_KIND} AS suffix, CASE WHEN contains({_LAST}, '.') THEN regexp_replace({_LAST}, '[<>:\"/\\\\|?*]', '_', 'g') ELSE printf('%04d', page_id) || '.' || {_KIND} END AS name FROM ({_URLS})")
 def url_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("page_id") % 4
+    k = F.col("page_id") % 7
     bare = F.element_at(F.split("url", r"\?"), 1)
     plain = F.element_at(F.split(bare, "#"), 1)
-    url = F.when(k == 0, F.col("url")).when(k == 1, F.concat(bare, F.lit("/a+b.PNG?x=1"))).when(k == 2, F.concat(plain, F.lit("/p.JPEG"))).otherwise(F.concat(plain, F.lit("/q%3A1.tar.gz")))
+    url = F.when(k == 0, F.col("url")).when(k == 1, F.concat(bare, F.lit("/a+b.PNG?x=1"))).when(k == 2, F.concat(plain, F.lit("/p.JPEG")))
+    url = url.when(k == 3, F.concat(plain, F.lit("/r.AVIF"))).when(k == 4, F.concat(plain, F.lit("/s.svg"))).when(k == 5, F.concat(plain, F.lit("/100%zz%.webp"))).otherwise(F.concat(plain, F.lit("/q%3A1.tar.gz")))
     return table(spark, sf_dir, "pages").select("page_id", keys.url_suffix(url).alias("suffix"), keys.url_file_name(url, F.col("page_id")).alias("name"))
 
 
@@ -107,5 +108,5 @@ def max_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, 'props of ' || CAST(event_id AS VARCHAR) AS error, CAST(-1 AS INTEGER) AS label FROM events WHERE event_type = 'error' UNION ALL SELECT event_id, NULL, CAST(event_id % 10 AS INTEGER) FROM events WHERE event_type <> 'error'")
 def load_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    failed = F.col("event_type") == "error"
-    return table(spark, sf_dir, "events").select("event_id", F.when(failed, F.concat(F.lit("props of "), F.col("event_id").cast("string"))).alias("error"), F.when(failed, -1).otherwise(F.col("event_id") % 10).cast("int").alias("label"))
+    error, label = keys.load_outcome(F.col("event_type") == "error", F.concat(F.lit("props of "), F.col("event_id").cast("string")), F.col("event_id") % 10)
+    return table(spark, sf_dir, "events").select("event_id", error.alias("error"), label.alias("label"))

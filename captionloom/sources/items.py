@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +66,31 @@ def read_dataset(spark: SparkSession, path: str, image_col: str, id_col: str | N
     return df.select(own.alias("own_id"), label.alias("label"), F.col(image_col).alias("image"))
 
 
+def read_dataset_rows(spark: SparkSession, path: str, *columns: str) -> DataFrame:
+    """The columns with `index`: each row's place in the dataset, files in the order of their paths."""
+    rows = spark.read.parquet(path).select(*columns, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    # One row for each file: small beside the table, and broadcast by Spark's own estimate.
+    counts = rows.groupBy("__file").agg((F.max("__row") + 1).alias("__n"))
+    starts = counts.select("__file", (F.sum("__n").over(Window.orderBy("__file")) - F.col("__n")).alias("__start"))
+    return rows.join(starts, "__file").select(*columns, (F.col("__start") + F.col("__row")).alias("index"))
+
+
+def read_tag_map(spark: SparkSession, path: str) -> DataFrame:
+    """index, tag and category of a JSON vocabulary: `tag_map` gives indices, and the first `gen_tag_count` are general tags."""
+    text = spark.read.text(path, wholetext=True).select(F.from_json("value", "tag_map map<string,int>, tag_split struct<gen_tag_count:int>").alias("v"))
+    rows = text.select(F.col("v.tag_split.gen_tag_count").alias("general"), F.explode("v.tag_map").alias("tag", "index"))
+    return rows.select("index", "tag", F.when(F.col("index") < F.col("general"), "general").otherwise("character").alias("category"))
+
+
+def read_tag_table(spark: SparkSession, tags: str, categories: str) -> DataFrame:
+    """index, tag and category of a CSV vocabulary (columns name and category) and its JSON list of categories; a tag
+    such as `null` or `nan` is text, and an empty one stays empty. The file is small, so its order is one task's."""
+    names = spark.read.schema("category int, name string").option("multiLine", True).json(categories)
+    rows = spark.read.option("header", True).option("multiLine", True).csv(tags).coalesce(1)
+    rows = rows.select(F.monotonically_increasing_id().cast("int").alias("index"), F.coalesce("name", F.lit("")).alias("tag"), F.col("category").cast("int").alias("category"))
+    return rows.join(F.broadcast(names.withColumnRenamed("name", "kind")), "category", "left").select("index", "tag", F.col("kind").alias("category"))
+
+
 def url_lines(text: Column) -> Column:
     """array<struct<position, url>> of a URL list: blank lines and comments do not count."""
     kept = F.filter(F.transform(F.split(text, "\n"), strip), lambda x: (x != "") & ~x.startswith("#"))
@@ -101,8 +126,9 @@ def append_log(requests: DataFrame, path: str) -> None:
 
 
 def write_routed(items: DataFrame, path: str, *by: str) -> None:
-    """One folder for each class (or split and class), instead of moving files one by one."""
-    items.repartition(*by).write.mode("overwrite").partitionBy(*by).parquet(path)
+    """One folder for each class (or split and class), instead of moving files one by one. Rows are rebalanced by class as
+    the job runs: a hot class is split over tasks, small ones share them."""
+    items.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def write_item_files(items: DataFrame, path: str, id_col: str = "image_id", suffix: str = ".caption.json") -> None:

@@ -35,7 +35,7 @@ def test_retry_counts_and_deadline():
             raise RateLimited("slow down")
         return ["ok"]
 
-    assert Retry(attempts=1, sleep=quiet).call(limited) == (["ok"], None, 0)
+    assert Retry(attempts=1, sleep=quiet).call(limited) == (["ok"], None, 3)
 
     def broken():
         raise RuntimeError("no")
@@ -84,3 +84,35 @@ def test_filters_come_before_the_model(spark):
     done = spark.createDataFrame([(2,)], "image_id int")
     plan = generate(items.join(done, "image_id", "left_anti"), EchoBackend, "plan").filter(F.col("success"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("MapInPandas") < plan.index("LeftAnti")
+
+
+def test_a_validator_asks_again(spark):
+    from captionloom.functions import validating
+
+    df = spark.createDataFrame([(1, "short"), (2, "a longer prompt")], "image_id int, prompt string")
+    out = caption(df, EchoBackend, "echo-valid", validator=validating.regex("1[0-9] characters", 0, "too short"), validation_retries=1, retry=Retry(attempts=0, sleep=quiet))
+    got = {r.image_id: (r.success, r.error, r.passes) for r in out.collect()}
+    assert got == {1: (False, "too short", 2), 2: (True, None, 1)}
+
+
+def test_chat_requests_run_side_by_side_in_order(monkeypatch):
+    monkeypatch.setattr(ChatBackend, "ask", lambda self, p, i: (time.sleep(0.2), p.upper())[1])
+    began = time.monotonic()
+    assert ChatBackend("openai", "m", key="k").generate(list("abcde"), [None] * 5) == list("ABCDE")
+    assert time.monotonic() - began < 0.8
+
+
+def test_rate_limits_pause_longer_each_time_and_not_alike():
+    def pauses(place):
+        made = []
+
+        def limited():
+            if len(made) < 4:
+                raise RateLimited("slow")
+            return ["ok"]
+
+        assert Retry(sleep=made.append).call(limited, place) == (["ok"], None, 4)
+        return made
+
+    a, b = pauses("0 1"), pauses("1 1")
+    assert a != b and all(0.5 * 2**k <= x <= 1.5 * 2**k for k, x in enumerate(a))

@@ -24,7 +24,7 @@ def test_templates(spark):
         spark.range(1).select(e.render("{n}", ctx, strict=True)).collect()
     e.register("twice", lambda c, is_list: F.concat(c, c))
     assert values(spark, x=e.render("{q!twice}", ctx))["x"] == "they'rethey're"
-    assert templates.missing_variables("{a} {b:1} {c.d} {c.e}", {"a"}) == ["c", "c"]
+    assert templates.missing_variables("{a} {b:1} {c.d} {c.e}", {"a"}) == ["c.d", "c.e"]
     with pytest.raises(KeyError):
         templates.CUSTOM.render(e, {})
 

@@ -88,7 +88,7 @@ def test_stream_equals_batch(spark, tmp_path):
 
 def test_rates(spark):
     ticks = spark.createDataFrame([(1, "2024-01-01 00:00:00"), (2, "2024-01-01 00:00:00"), (3, "2024-01-01 00:00:04")], "k int, ts string").withColumn("ts", F.to_timestamp("ts"))
-    got = [r.rate for r in rates.speed(ticks, "ts", "k").orderBy("k").collect()]
+    got = [r.rate for r in rates.speed(ticks.withColumn("run", F.lit(1)), "ts", "k", by=("run",)).orderBy("k").collect()]
     assert got == [0.0, 0.0, 0.5]
     eta = spark.range(1).select(rates.eta(F.lit(10), F.lit(0.0)).alias("a"), rates.eta(F.lit(10), F.lit(1.0)).alias("b"), rates.eta(F.lit(90), F.lit(1.0)).alias("c"), rates.eta(F.lit(9000), F.lit(1.0)).alias("d")).first()
     assert tuple(eta) == ("?", "10s", "1.5m", "2.5h")
@@ -101,3 +101,25 @@ def test_first_present(spark):
     a, b = spark.createDataFrame([(1, None)], "image_id int, v string"), spark.createDataFrame([(1, "b1"), (2, "b2")], "image_id int, v string")
     got = {r.image_id: (r.v, r.source) for r in joins.first_present(ids, "image_id", "v", a, b).collect()}
     assert got == {1: (None, 0), 2: ("b2", 1), 3: (None, None)}
+
+
+def test_repeated_keys_multiply_nothing(spark):
+    ids = spark.createDataFrame([(1,), (2,)], "image_id int")
+    a = spark.createDataFrame([(1, "y", None), (1, "x", None), (2, "z", "bad")], "image_id int, v string, error string")
+    assert sorted((r.image_id, r.v) for r in joins.attach_tags(ids, a).collect()) == [(1, "x"), (2, None)]
+    assert [r.v for r in joins.with_class(ids, a.select("image_id", "v"), "image_id").orderBy("image_id").collect()] == ["x", "z"]
+    assert joins.first_present(ids, "image_id", "v", a.select("image_id", "v")).count() == 2
+
+
+def test_vocabularies_and_row_places(spark, tmp_path):
+    (tmp_path / "map.json").write_text('{"tag_map": {"a": 0, "null": 1, "c": 2}, "tag_split": {"gen_tag_count": 2, "other": 1}}')
+    got = sorted(tuple(r) for r in items.read_tag_map(spark, str(tmp_path / "map.json")).collect())
+    assert got == [(0, "a", "general"), (1, "null", "general"), (2, "c", "character")]
+    (tmp_path / "tags.csv").write_text('id,name,category\n9,nan,0\n8,"x, y",4\n7,null,9\n')
+    (tmp_path / "categories.json").write_text('[{"category": 0, "name": "general"}, {"category": 4, "name": "character"}]')
+    got = sorted(tuple(r) for r in items.read_tag_table(spark, str(tmp_path / "tags.csv"), str(tmp_path / "categories.json")).collect())
+    assert got == [(0, "nan", "general"), (1, "x, y", "character"), (2, "null", None)]
+    for k in range(3):
+        spark.range(10 * k, 10 * k + 10).coalesce(1).write.mode("append").parquet(f"{tmp_path}/rows/{k}")
+    rows = items.read_dataset_rows(spark, f"{tmp_path}/rows/*", "id").collect()
+    assert sorted(r.id for r in rows) == list(range(30)) and all(r["index"] == r.id for r in rows)
