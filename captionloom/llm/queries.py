@@ -66,8 +66,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.pmod(crc_of_id(), F.lit(5)) == 0
     model = toxicity.train(docs, read(spark, sf_dir, "labels"), learn=~held_out)
-    out = toxicity.score(docs, model, worst_col=None)
-    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending")
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

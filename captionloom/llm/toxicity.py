@@ -87,16 +87,22 @@ class Model:
             values[k] = self._value(own[k])
         return 1 / (1 + np.exp(-np.clip(sentence_sums(values, ends) + self.bias, -40, 40)))
 
-    def score(self, text: str | None) -> float:
+    def _either(self, p: np.ndarray) -> float:
         if self.base is not None:
             return self.base
-        p = self.sentences(text)
         return float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())) if len(p) else 0.0
 
-    def worst(self, text: str | None, least: float = 0.5) -> list[tuple[int, float]]:
-        """Places (among sentences with words) and probabilities of the offending sentences."""
+    def score(self, text: str | None) -> float:
+        return self._either(self.sentences(text))
+
+    def judged(self, text: str | None, least: float = 0.5) -> tuple[float, list[tuple[int, float]]]:
+        """The score, and places (among sentences with words) and probabilities of the offending sentences: those of `least`
+        and more, or the most probable one where only all of them together make the document's score so large."""
         p = self.sentences(text)
-        return [(int(k), float(p[k])) for k in np.flatnonzero(p >= least)]
+        whole, places = self._either(p), np.flatnonzero(p >= least)
+        if not len(places) and len(p) and whole >= least:
+            places = [int(p.argmax())]
+        return whole, [(int(k), float(p[k])) for k in places]
 
 
 class Packed:
@@ -217,9 +223,10 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
         own: Model = pickle.loads(sent.value)
         for batch in sliced(batches):
             texts = batch.column(text_col).to_pylist()
-            made = [pa.array([own.score(t) for t in texts], pa.float64())]
+            judged = [own.judged(t) for t in texts]
+            made = [pa.array([s for s, _ in judged], pa.float64())]
             if worst_col:
-                made.append(pa.array([[{"sentence": k, "probability": p} for k, p in own.worst(t)] for t in texts], pa.list_(place)))
+                made.append(pa.array([[{"sentence": k, "probability": p} for k, p in found] for _, found in judged], pa.list_(place)))
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *[f.name for f in fields]])
 
     return docs.mapInArrow(run, T.StructType(docs.schema.fields + fields))

@@ -39,6 +39,11 @@ def test_noisy_or():
     model = t.Model({b"bad": 5.0}, -4.0)
     p = model.sentences("one. bad word! two")
     assert len(p) == 3 and abs(model.score("one. bad word! two") - (1 - (1 - p).prod())) < 1e-9
+    whole, places = model.judged("one. bad word! two")
+    assert whole == model.score("one. bad word! two") and [k for k, _ in places] == [1]
+    together = t.Model({b"bad": 3.0}, -4.0)
+    whole, places = together.judged("bad. " * 9 + "good.")
+    assert whole >= 0.5 and len(places) == 1 and places[0][1] < 0.5
     assert t.tokens("A b.C") == [b"a", b"b", b"\x01", b"c"]
 
 
