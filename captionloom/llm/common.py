@@ -13,6 +13,8 @@ __all__ = ["BROADCAST_IDS", "SALTS", "components", "crc_of_id", "few", "parts_fo
 
 #: Most narrow rows (some 50 bytes) that few() marks.
 BROADCAST_ROWS = 100_000
+#: Ids with more than such a part of all edges are broadcast where components() shuffles.
+HOT_IDS = 10_000
 #: Rounds of salt for groups that may hold a large share of all rows.
 SALTS = 32
 
@@ -78,8 +80,16 @@ def components(links: DataFrame) -> DataFrame:
         n = 2 * before[0]
         # Large star: every larger neighbour of u is moved to the smallest id around u.
         both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(few(least, n), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("degree"))
+        up = both.where("v > u")
+        if n <= BROADCAST_ROWS:
+            met = up.join(F.broadcast(least), "u")
+        else:
+            # Ids with more than a HOT_IDS-th of all edges, so fewer than HOT_IDS, are broadcast; no other id is a hot key.
+            hot = F.col("degree") > n // HOT_IDS
+            often = F.broadcast(least.where(hot))
+            met = up.join(often, "u").unionByName(up.join(often.select("u"), "u", "left_anti").join(least.where(~hot), "u"))
+        large = met.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         # Small star: u and its smaller neighbours are moved to the smallest of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(few(low, n), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")

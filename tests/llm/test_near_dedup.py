@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from captionloom.llm import common
 from captionloom.llm import near_dedup as nd
 from tests.llm.helpers import docs, table
 
@@ -160,7 +161,10 @@ def test_recall_on_a_table(spark):
     assert len(wrong) <= 0.01 * sum(1 for i, w in want.items() if w[1] != i)
 
 
-def test_components_of_a_chain(spark):
+@pytest.mark.parametrize("rows", [100_000, 0])
+def test_components_of_a_chain(spark, monkeypatch, rows):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", rows)
+    monkeypatch.setattr(common, "HOT_IDS", 60)
     ids = list(range(60))
     random.Random(4).shuffle(ids)
     links = spark.createDataFrame([(min(a, b), max(a, b)) for a, b in zip(ids[:40], ids[1:40], strict=False)] + [(ids[50], ids[51])], "a long, b long")
