@@ -1,20 +1,24 @@
 """Line dedup by a segment-partition edit join, in DataFrame expressions alone.
 
-Lines are compared in a normal form (lower case, white space as single spaces, trimmed). Distinct forms enter the join once, however often they occur. For an edit
-threshold of one, a form of length n is split into two segments: a form within one edit, of length
-n or n + 1, has one of them unchanged at the place that its length tells, so it is found by a
+Lines are compared in a normal form (lower case, white space as single spaces, trimmed). Distinct forms enter the join once,
+however often they occur. For a threshold of t edits, a form of length n is split into t + 1 segments: a form within t edits,
+of length n to n + t, has one of them unchanged at one of the few places that its length allows, so it is found by a
 substring index over (length, segment, substring).
 
-Where too many forms share a segment, the rest of the form (the block that may hold the edit) is
+Where too many forms share a segment, more is asked of them. For more than one edit the forms are split into twice as many
+blocks, of which t may hold the edits: a pair agrees on the runs of blocks between any t that hold them, each run shifted
+by what the edits before it insert or delete. These runs together are the finer key; every choice of t blocks and every
+possible shift is indexed, so that no pair is lost, and forms that share hot keys alone go on to the next split. For one
+edit, the rest of the form (the block that may hold the edit) is
 split again: a pair within one edit agrees before and after the smaller block that holds the edit,
 so all of a hot key's forms are dealt out again by (prefix before the block, suffix after it), level by
 level, down to single characters. Pairs are made only from small keys; none are dropped.
 
-Candidates are verified with a banded bit-parallel edit distance: the band's three diagonals are
+Candidates are verified with a banded bit-parallel edit distance: the band's 2 t + 1 diagonals are
 bits of one number, and a fold over the longer form's characters updates their vertical deltas.
 
 What goes: of equal forms all but the first occurrence (by id, then place), and every occurrence of a form
-within one edit of a form that first occurs earlier. A document that loses all of its text is
+within the threshold of a form that first occurs earlier. A document that loses all of its text is
 marked not kept.
 
 Defined cases: null text stays null and has no lines; lines whose form has fewer than `min_chars`
@@ -24,13 +28,18 @@ or lose the same lines; null ids sort first; an empty table gives no rows; furth
 
 from __future__ import annotations
 
+import math
+from itertools import combinations, product
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from captionloom.llm.common import components, release, safe_name, settle
 
-#: Edits; shortest form that is judged; parts into which a hot key's block is split at a time; pairs that a key may make unsplit.
+#: Edits, if not given; shortest form that is judged; parts into which a hot key's block is split at a time; pairs that a key may make unsplit.
 THRESHOLD, MIN_CHARS, PARTS, KEY_PAIRS = 1, 30, 4, 40
+#: Most keys that a form of a hot key is indexed under before its pairs are made, for more than one edit.
+FINEST_KEYS = 5_000
 #: Most line keys that are broadcast (16 bytes each, about) where lines are filtered by them.
 BROADCAST_KEYS = 100_000
 #: Lines that stand for more than such a part of all occurrences are broadcast where occurrences meet them.
@@ -110,7 +119,7 @@ def _blocks(n: Column, lo: Column, hi: Column, parts: int) -> list[tuple[Column,
 def _first_blocks(size: Column) -> list[tuple[int, Column, Column, Column]]:
     """(role, n, lo, hi) of a form of that size: it stands in the partition for its own length (role 0) and in the
     one for forms a character shorter (role 1)."""
-    return [(role, size - role, lo, hi) for role in (0, 1) for lo, hi in _blocks(size - role, F.lit(0), size - role, THRESHOLD + 1)]
+    return [(role, size - role, lo, hi) for role in (0, 1) for lo, hi in _blocks(size - role, F.lit(0), size - role, 2)]
 
 
 def first_keys(form: Column) -> dict[str, Column]:
@@ -119,7 +128,7 @@ def first_keys(form: Column) -> dict[str, Column]:
     return {"size": size} | {f"key{k}": _block_key(form, size, n, lo, hi) for k, (_, n, lo, hi) in enumerate(_first_blocks(size))}
 
 
-KEY_NAMES = ["size", *(f"key{k}" for k in range(2 * (THRESHOLD + 1)))]
+KEY_NAMES = ["size", *(f"key{k}" for k in range(4))]
 
 
 def _first_members() -> Column:
@@ -153,13 +162,74 @@ def _met(members: DataFrame) -> DataFrame:
     """Members whose key another line shares."""
     sizes = settle(_sizes(members))
     sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_KEYS else sizes
-    met = settle(members.join(sizes, "key").select("line", "role", "n", "lo", "hi", "key", "hot"))
+    met = settle(members.join(sizes, "key").select(*members.columns, "hot"))
     release(met.sparkSession)
     return met
 
 
-def near_pairs(lines: DataFrame, texts_of) -> DataFrame:
-    """Links (a, b) between lines within one edit; `lines` has line and first_keys(), texts_of(keys) gives (line, form)."""
+def _shifts(threshold: int) -> list[tuple[int, ...]]:
+    """The shifts of the threshold + 1 agreed runs of a pair within the threshold: none for the first, the difference of
+    the lengths for the last, and no more insertions and deletions in all than the threshold. No shift at all comes first."""
+    made = [(0, *s) for s in product(range(-threshold, threshold + 1), repeat=threshold) if s[-1] >= 0]
+    return sorted((s for s in made if sum(abs(b - a) for a, b in zip(s, s[1:], strict=False)) <= threshold), key=lambda s: [abs(x) for x in s])
+
+
+def _numbers(rows) -> Column:
+    return F.array(*[F.array(*[F.lit(x) for x in row]) for row in rows])
+
+
+def _members_apart(threshold: int, parts: int) -> Column:
+    """The members of a form that is split into so many blocks: one for each choice of the blocks that may hold the edits
+    and each shift of the runs between them. A form stands with no shift (role 0) for itself."""
+    size = F.length("form")
+
+    def member(held: Column, shift: Column) -> Column:
+        n = size - shift[threshold]
+        cut = lambda k: F.floor(n * k / parts).cast("int")
+        runs = []
+        for j in range(threshold + 1):
+            lo = F.lit(0) if j == 0 else cut(held[j - 1] + 1)
+            hi = n if j == threshold else cut(held[j])
+            runs.append(F.substring("form", lo + shift[j] + 1, hi - lo))
+        moved = F.exists(shift, lambda x: x != 0)
+        return F.struct(moved.cast("int").alias("role"), F.xxhash64(F.lit(parts), n, held, *runs).alias("key"))
+
+    held, shifts = _numbers(combinations(range(parts), threshold)), _numbers(_shifts(threshold))
+    return F.flatten(F.transform(held, lambda h: F.transform(shifts, lambda s: member(h, s))))
+
+
+def _candidates(forms: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of lines of `forms` (line, form) that share a key: of threshold + 1 segments, then of ever more blocks
+    for the lines that hot keys hold. A pair within the threshold shares a key at every level that it reaches, and reaches the
+    next one unless it was found."""
+    live, parts, found = forms, threshold + 1, []
+    while True:
+        last = math.comb(2 * parts, threshold) * len(_shifts(threshold)) > FINEST_KEYS
+        members = live.select("line", F.explode(_members_apart(threshold, parts)).alias("m")).select("line", "m.*").distinct()
+        met = _met(members)
+        found.append(settle(_pairs(met, met.where(F.lit(last) | ~F.col("hot")).select("key").distinct())))
+        hot = met.where("hot").select("line").distinct()
+        if last or hot.isEmpty():
+            break
+        live, parts = forms.join(hot, "line", "left_semi"), 2 * parts
+    pairs = found[0]
+    for df in found[1:]:
+        pairs = pairs.unionByName(df)
+    # Forms of one length meet both ways.
+    return pairs.select(F.when(F.col("a") < F.col("b"), F.col("a")).otherwise(F.col("b")).alias("a"), F.when(F.col("a") < F.col("b"), F.col("b")).otherwise(F.col("a")).alias("b"))
+
+
+def near_pairs(lines: DataFrame, texts_of, threshold: int = THRESHOLD) -> DataFrame:
+    """Links (a, b) between lines within the threshold; `lines` has line and, for one edit, first_keys(); texts_of(keys) gives
+    (line, form)."""
+    if threshold == 1:
+        return _verified(*_candidates_of_one_edit(lines, texts_of), threshold)
+    forms = settle(texts_of(lines.select("line")))
+    return _verified(_candidates(forms, threshold), forms, threshold)
+
+
+def _candidates_of_one_edit(lines: DataFrame, texts_of) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of lines that share a key, and the forms (line, form) of all of them."""
     members = lines.select("line", F.explode(_first_members()).alias("m")).select("line", "m.*")
     met = _met(members)
     forms = settle(texts_of(met.select("line").distinct()))
@@ -177,11 +247,15 @@ def near_pairs(lines: DataFrame, texts_of) -> DataFrame:
     pairs = found[0]
     for df in found[1:]:
         pairs = pairs.unionByName(df)
+    return pairs, forms
+
+
+def _verified(pairs: DataFrame, forms: DataFrame, threshold: int) -> DataFrame:
     near = pairs.distinct().join(forms.select(F.col("line").alias("a"), F.col("form").alias("fa")), "a").join(forms.select(F.col("line").alias("b"), F.col("form").alias("fb")), "b")
     shorter = F.length("fa") <= F.length("fb")
     low, high = F.when(shorter, F.col("fa")).otherwise(F.col("fb")), F.when(shorter, F.col("fb")).otherwise(F.col("fa"))
-    near = near.select("a", "b", low.alias("low"), high.alias("high")).where(F.length("high") - F.length("low") <= THRESHOLD)
-    return near.where(edit_distance(F.col("low"), F.col("high")) <= THRESHOLD).select("a", "b")
+    near = near.select("a", "b", low.alias("low"), high.alias("high")).where(F.length("high") - F.length("low") <= threshold)
+    return near.where(edit_distance(F.col("low"), F.col("high"), threshold) <= threshold).select("a", "b")
 
 
 def _forms(texts: DataFrame, min_chars: int) -> DataFrame:
@@ -206,18 +280,22 @@ def _without_places(text: Column, places: Column) -> Column:
     return F.get(F.transform(F.array(F.split(text, "\n")), lambda own: F.array_join(kept(own), "\n")), F.lit(0))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, exact_chars: int | None = None, classes: bool = True) -> DataFrame:
-    """The documents with repeated lines taken out of the text, and the columns lines, exact_dropped, near_dropped
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, exact_chars: int | None = None, classes: bool = True, threshold: int = THRESHOLD) -> DataFrame:
+    """The documents with repeated lines, and lines within `threshold` edits (1 at least), taken out of the text, and the columns lines, exact_dropped, near_dropped
     (counts), line_kept (false where all the text went) and, with `classes`, n_links (near links that its lines' forms have, and
     one for each line that stands elsewhere too) and class_id (the smallest id that links of lines reach from it, its own
     included; null for a null id)."""
+    if threshold < 1:
+        raise ValueError("the threshold is one edit at least")
     names = {n: safe_name(docs, n) for n in ("lines", "exact_dropped", "near_dropped", "line_kept", *(["n_links", "class_id"] if classes else []))}
     own_row, own_id, gone, places, left, linked, root = (safe_name(docs, f"__{n}") for n in ("row", "id", "gone", "places", "left", "links", "root"))
     row = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     lean = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), row.alias("row"), F.col(text_col).alias("text"))
     each = _forms(lean, min_chars if exact_chars is None else min(exact_chars, min_chars))
-    occurrences = settle(each.select("id", "row", "at", "line", *[c.alias(n) for n, c in first_keys(F.col("form")).items()]))
-    lines = occurrences.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "row", "at")).alias("first"), F.min("id").alias("anchor"), *[F.first(n).alias(n) for n in KEY_NAMES])
+    # The first keys of one edit are few enough to go along; for more edits they are made from the distinct forms.
+    own_keys = first_keys(F.col("form")) if threshold == 1 else {"size": F.length("form")}
+    occurrences = settle(each.select("id", "row", "at", "line", *[c.alias(n) for n, c in own_keys.items()]))
+    lines = occurrences.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "row", "at")).alias("first"), F.min("id").alias("anchor"), *[F.first(n).alias(n) for n in own_keys])
     lines = settle(lines)
     total = lines.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
@@ -232,7 +310,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         found = _forms(again, min_chars)
         return found.join(F.broadcast(places.select("line")) if few else places.select("line"), "line", "left_semi").select("line", "form").dropDuplicates(["line"])
 
-    links = settle(near_pairs(lines.where(F.col("size") >= min_chars).select("line", *KEY_NAMES), texts_of))
+    links = settle(near_pairs(lines.where(F.col("size") >= min_chars).select("line", *own_keys), texts_of, threshold))
     release(docs.sparkSession)
     firsts = lambda x: lines.select(F.col("line").alias(x), F.col("first").alias(f"f{x}"), F.col("anchor").alias(f"i{x}"))
     both = links.join(firsts("a"), "a").join(firsts("b"), "b")

@@ -1,6 +1,7 @@
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from captionloom.llm import line_dedup as ld
@@ -21,14 +22,14 @@ def distance(a, b):
     return row[-1]
 
 
-def brute(rows, least, exact=None):
+def brute(rows, least, exact=None, edits=1):
     first, exact = {}, least if exact is None else exact
     for i, text in sorted(rows, key=lambda r: r[0]):
         for at, line in enumerate((text or "").split("\n")):
             if len(form(line)) >= exact:
                 first.setdefault(form(line), (i, at))
     long = [f for f in first if len(f) >= least]
-    late = {a for a in long for b in long if a != b and abs(len(a) - len(b)) <= 1 and first[b] < first[a] and distance(a, b) <= 1}
+    late = {a for a in long for b in long if a != b and abs(len(a) - len(b)) <= edits and first[b] < first[a] and distance(a, b) <= edits}
     out = {}
     for i, text in rows:
         if text is None:
@@ -47,7 +48,7 @@ def brute(rows, least, exact=None):
     return out
 
 
-def classes_and_links(rows, least, exact=None):
+def classes_and_links(rows, least, exact=None, edits=1):
     """For each document: the smallest id that shared lines and near forms reach, and its lines' links."""
     first, own, holders = {}, {}, {}
     for i, text in sorted(rows, key=lambda r: r[0]):
@@ -55,7 +56,7 @@ def classes_and_links(rows, least, exact=None):
         for at, f in own[i]:
             first.setdefault(f, (i, at))
             holders.setdefault(f, []).append(i)
-    near = {a: [b for b in first if b != a and min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= 1 and distance(a, b) <= 1] for a in first}
+    near = {a: [b for b in first if b != a and min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= edits and distance(a, b) <= edits] for a in first}
     root = {i: i for i, _ in rows}
 
     def find(x):
@@ -110,6 +111,32 @@ def test_against_brute_force(spark):
     assert {r.doc_id: (r.class_id, r.n_links) for r in out.collect()} == {i: (classes[i], links[i]) for i, _ in rows}
 
 
+@pytest.mark.parametrize("edits", [2, 3])
+def test_more_edits_against_brute_force(spark, edits, monkeypatch):
+    # Keys are hot from four pairs on, so that lines go on to the finer splits.
+    monkeypatch.setattr(ld, "KEY_PAIRS", 4)
+    rng, rows = random.Random(edits), [(900, None), (901, ""), (902, "y" * 700), (903, "y" * 702)]
+    lines = ["".join(rng.choice("abcd ") for _ in range(rng.randint(10, 30))) for _ in range(12)]
+    for i in range(70):
+        own = []
+        for _ in range(rng.randint(0, 3)):
+            line = list(rng.choice(lines))
+            for _ in range(rng.choice([0, 1, 2, 2, 3, 4])):
+                k = rng.randint(0, len(line))
+                line[k : k + rng.randint(0, 1)] = rng.choice(["", "x", "7", "É"])
+            own.append("".join(line))
+        rows.append((i, "\n".join(own)))
+    out = ld.line_dedup(docs(spark, rows), min_chars=8, threshold=edits)
+    assert result(out) == brute(rows, 8, edits=edits)
+    classes, links = classes_and_links(rows, 8, edits=edits)
+    assert {r.doc_id: (r.class_id, r.n_links) for r in out.collect()} == {i: (classes[i], links[i]) for i, _ in rows}
+
+
+def test_a_threshold_of_none_is_refused(spark):
+    with pytest.raises(ValueError):
+        ld.line_dedup(docs(spark, []), threshold=0)
+
+
 def test_a_hot_line_with_many_variants(spark):
     rng = random.Random(9)
     base = "the quick brown fox jumps over the lazy dog and runs away"
