@@ -4,7 +4,8 @@ Rows arrive in epochs. Each epoch, once taken in, is an immutable snapshot: its
 are cut into segments by digest, and each segment gets a static 3-wise binary-fuse filter with
 16-bit fingerprints. A later epoch's distinct digests (its own duplicates are grouped first) are
 screened against the filters of all earlier epochs; only positives join the exact buckets. Groups
-of two or more rows are then compared byte by byte (least and greatest text of the group).
+of two or more rows are then compared byte by byte (least and greatest text of the group). Their texts
+alone are moved for it: a bitmap of the groups' digests, of 64 MB at most, keeps the others where they are.
 
 Defined cases: null text counts as empty and equals the empty text; texts are equal only when
 identical; of equal rows the largest id stays; an empty table gives no rows; further columns are
@@ -22,6 +23,8 @@ from captionloom.llm.common import parts_for, salt_of, salted, settle
 
 #: Digests that one filter segment holds, about.
 SEGMENT_KEYS = 60_000
+#: Bits of a bitmap that a group's digest gets, about; bits of one row of a bitmap; most of its rows (64 MB).
+BITS_A_GROUP, BITMAP_BITS, BITMAP_ROWS = 16, 32_768, 16_384
 FILTER_SCHEMA = "epoch int, segment long, seed long, width long, filter binary"
 HIT_SCHEMA = "sha binary, epoch int, found_in int"
 
@@ -137,25 +140,55 @@ def _probe(digests: pa.Table, filters: pa.Table) -> pa.Table:
     return pa.table({"sha": pa.array(shas, pa.binary()), "epoch": pa.array(epochs, pa.int32()), "found_in": pa.array(found, pa.int32())})
 
 
+def _word(sha: Column, at: int) -> Column:
+    """Six bytes of a digest as a number; the filters' fingerprints come from bytes 8 to 15."""
+    return F.conv(F.hex(F.substring(sha, at, 6)), 16, 10).cast("long")
+
+
+def _segment(sha: Column, segments: int) -> Column:
+    return F.pmod(_word(sha, 1), F.lit(segments))
+
+
+def snapshot_filters(cut: DataFrame) -> DataFrame:
+    """The filters of distinct digests (sha, epoch, segment), one for each epoch and segment."""
+    return cut.groupBy("epoch", "segment").applyInArrow(_build, FILTER_SCHEMA)
+
+
+def positives(cut: DataFrame, filters: DataFrame) -> DataFrame:
+    """(sha, epoch, found_in) where a filter of an earlier epoch holds the digest; a few of them wrongly."""
+    return cut.groupBy("segment").cogroup(filters.groupBy("segment")).applyInArrow(_probe, HIT_SCHEMA)
+
+
+def _likely(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows whose digest may be among the groups', and all whose digest is. Nothing is shuffled but the bitmap."""
+    count = groups.count()
+    wide = min(BITMAP_ROWS, max(1, parts_for(count * BITS_A_GROUP, BITMAP_BITS)))
+    row = lambda: F.pmod(_word(F.col("sha"), 17), F.lit(wide))
+    bit = lambda: F.pmod(_word(F.col("sha"), 23), F.lit(BITMAP_BITS))
+    maps = groups.groupBy(row().alias("map_row")).agg(F.bitmap_construct_agg(bit()).alias("map"))
+    byte = F.conv(F.hex(F.substring("map", (bit() / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.call_function("shiftright", byte, F.pmod(bit(), F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    # 4 KB a row and BITMAP_ROWS rows at most.
+    return rows.withColumn("map_row", row()).join(F.broadcast(maps), "map_row").where(held).drop("map", "map_row")
+
+
 def exact_dedup(docs: DataFrame, epoch: Column, id_col: str = "doc_id", text_col: str = "text", segment_keys: int = SEGMENT_KEYS) -> DataFrame:
     """One row for each input row: id, keep_id, group_size, kept, text_sha256 (see the module's text)."""
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), epoch.cast("int").alias("epoch"))
     source = source.withColumn("sha", F.unhex(F.sha2("text", 256)))
     keyed = settle(source.select("id", "epoch", "sha"))
     # Duplicates inside an epoch are grouped first; a hot text is combined before the shuffle.
-    buckets = keyed.groupBy("epoch", "sha").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top"))
+    buckets = settle(keyed.groupBy("epoch", "sha").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top")))
     segments = parts_for(keyed.count(), segment_keys)
-    segment = F.pmod(F.conv(F.hex(F.substring("sha", 1, 6)), 16, 10).cast("long"), F.lit(segments))
-    cut = buckets.select("sha", "epoch", segment.alias("segment"))
-    filters = cut.groupBy("epoch", "segment").applyInArrow(_build, FILTER_SCHEMA)
-    positives = cut.groupBy("segment").cogroup(filters.groupBy("segment")).applyInArrow(_probe, HIT_SCHEMA)
+    cut = buckets.select("sha", "epoch", _segment(F.col("sha"), segments).alias("segment"))
+    hits = positives(cut, snapshot_filters(cut))
     # Positives meet the exact buckets of the snapshot that their filter stands for.
-    met = buckets.select("sha", F.col("epoch").alias("found_in")).join(positives, ["sha", "found_in"]).select("sha").distinct()
+    met = buckets.select("sha", F.col("epoch").alias("found_in")).join(hits, ["sha", "found_in"]).select("sha").distinct()
     across = buckets.join(met, "sha").groupBy("sha").agg(F.sum("n").alias("n"), F.max("top").alias("top"))
     within = buckets.where("n > 1").join(met, "sha", "left_anti").select("sha", "n", "top")
     groups = settle(across.unionByName(within))
     # Byte check: all texts of a group are the same if the least and the greatest are.
-    texts = source.select("sha", "text", salt_of("id").alias("salt")).join(salted(groups.select("sha")), ["sha", "salt"])
+    texts = _likely(source.select("sha", "text", salt_of("id").alias("salt")), groups).join(salted(groups.select("sha")), ["sha", "salt"])
     spans = texts.groupBy("sha", "salt").agg(F.min("text").alias("low"), F.max("text").alias("high"))
     spans = spans.groupBy("sha").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     clashes = settle(spans.where("low != high").select("sha"))

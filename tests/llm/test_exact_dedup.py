@@ -35,3 +35,15 @@ def test_empty_table_and_clashing_names(spark):
     assert exact_dedup(empty, F.lit(0)).count() == 0
     clash = docs(spark, [(1, "a"), (2, "a")]).withColumns({"sha": F.lit(1), "epoch": F.lit("e"), "n": F.lit(2), "keep_id": F.lit(0)})
     assert sorted(r.keep_id for r in exact_dedup(clash, F.lit(3)).collect()) == [2, 2]
+
+
+def test_repeated_and_null_ids(spark):
+    rows = [(1, "a"), (1, "a"), (None, "a"), (None, "b"), (2, "c")]
+    got = exact_dedup(docs(spark, rows), F.lit(0)).collect()
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept) for r in got) == [
+        ("1", "1", 3, True),
+        ("1", "1", 3, True),
+        ("2", "2", 1, True),
+        ("None", "1", 3, False),
+        ("None", "None", 1, False),
+    ]
