@@ -7,6 +7,9 @@ screened against the filters of all earlier epochs; only positives join the exac
 of two or more rows are then compared byte by byte (least and greatest text of the group). Their texts
 alone are moved for it: a bitmap of the groups' digests, of 64 MB at most, keeps the others where they are.
 
+`Snapshots` keeps filters and exact buckets in a shared folder from batch to batch: `screen` tells which rows of a new batch
+repeat an earlier text or one of their own batch, and `add` makes the batch the next immutable snapshot.
+
 Defined cases: null text counts as empty and equals the empty text; texts are equal only when
 identical; of equal rows the largest id stays; an empty table gives no rows; further columns are
 ignored; null ids keep their rows, and a group of null ids alone has a null keep_id and no kept row.
@@ -14,12 +17,14 @@ ignored; null ids keep their rows, and a group of null ids alone has a null keep
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from captionloom.llm.common import parts_for, salt_of, salted, settle
+from captionloom.llm.common import parts_for, salt_of, salted, settle, ship
 
 #: Digests that one filter segment holds, about.
 SEGMENT_KEYS = 60_000
@@ -172,6 +177,74 @@ def _likely(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.withColumn("map_row", row()).join(F.broadcast(maps), "map_row").where(held).drop("map", "map_row")
 
 
+class Snapshots:
+    """Immutable snapshots in a folder that driver and executors share: `filters` and exact `buckets` of each, as Parquet.
+
+    Null text counts as empty; ids are whole numbers, and a null id is found in snapshots but repeats nothing; an empty batch
+    screens to no rows and makes a snapshot without filters; further columns are ignored.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, segment_keys: int = SEGMENT_KEYS):
+        ship(spark)
+        self.spark, self.folder, self.segment_keys = spark, folder.rstrip("/"), segment_keys
+
+    def numbers(self) -> list[int]:
+        """The finished snapshots: those whose mark was written last."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = files.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/snapshot-*/segments-*/_SUCCESS")) or []
+        return sorted(int(f.getPath().getParent().getParent().getName().split("-")[1]) for f in found)
+
+    def _place(self, number: int) -> str:
+        return f"{self.folder}/snapshot-{number:08d}"
+
+    def add(self, batch: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> int:
+        """Makes the batch the next snapshot and returns its number. A run that was lost half way leaves no snapshot, and the
+        next one writes over it."""
+        number = max(self.numbers(), default=-1) + 1
+        place = self._place(number)
+        lean = batch.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+        # Of a digest's texts each is kept once, so that bytes can be compared.
+        own = lean.groupBy("text").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top"))
+        own.withColumn("sha", F.unhex(F.sha2("text", 256))).write.mode("overwrite").parquet(f"{place}/buckets")
+        digests = self.spark.read.parquet(f"{place}/buckets").select("sha").distinct()
+        segments = parts_for(max(1, digests.count()), self.segment_keys)
+        cut = digests.select("sha", F.lit(number).alias("epoch"), _segment(F.col("sha"), segments).alias("segment"))
+        snapshot_filters(cut).withColumn("segments", F.lit(segments)).write.mode("overwrite").parquet(f"{place}/segments-{segments}")
+        return number
+
+    def _segments(self, number: int) -> int:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._place(number)}/segments-*/_SUCCESS")
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
+        return int(found[0].getPath().getParent().getName().split("-")[1])
+
+    def screen(self, batch: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """One row for each of the batch: id, found_in (the first snapshot that holds its text, else null), found_id (the largest
+        id there) and repeats (whether an equal text with a larger id stands in the batch)."""
+        lean = batch.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("sha", F.unhex(F.sha2("text", 256)))
+        keyed = settle(lean.select("id", "sha"))
+        digests = settle(keyed.select("sha").distinct())
+        none = self.spark.createDataFrame([], "sha binary, text string, top long, found_in int")
+        hits = [none]
+        for number in self.numbers():
+            segments = self._segments(number)
+            filters = self.spark.read.schema(FILTER_SCHEMA).parquet(f"{self._place(number)}/segments-{segments}")
+            cut = digests.select("sha", F.lit(number + 1).alias("epoch"), _segment(F.col("sha"), segments).alias("segment"))
+            met = positives(cut, filters).select("sha")
+            buckets = self.spark.read.parquet(f"{self._place(number)}/buckets")
+            hits.append(buckets.join(met, "sha", "left_semi").select("sha", "text", F.col("top").cast("long").alias("top"), F.lit(number).alias("found_in")))
+        old = settle(reduce(DataFrame.unionByName, hits).groupBy("sha", "text").agg(F.min("found_in").alias("found_in"), F.min_by("top", "found_in").alias("found_id")))
+        own = keyed.groupBy("sha").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top")).where("n > 1").select("sha")
+        wanted = settle(own.union(old.select("sha")).distinct())
+        likely = settle(_likely(lean, wanted).join(wanted, "sha", "left_semi").withColumn("salt", salt_of("id")))
+        tops = likely.groupBy("sha", "text", "salt").agg(F.max("id").alias("top")).groupBy("sha", "text").agg(F.max("top").alias("last"))
+        # Bytes are compared here: both joins are by the text itself.
+        met = likely.join(salted(tops), ["sha", "text", "salt"]).join(salted(old), ["sha", "text", "salt"], "left")
+        met = met.select("id", "found_in", "found_id", F.coalesce(F.col("id") < F.col("last"), F.lit(False)).alias("repeats"))
+        new = keyed.join(wanted, "sha", "left_anti").select("id", F.lit(None).cast("int").alias("found_in"), F.lit(None).cast("long").alias("found_id"), F.lit(False).alias("repeats"))
+        return new.unionByName(met).withColumnRenamed("id", id_col)
+
+
 def exact_dedup(docs: DataFrame, epoch: Column, id_col: str = "doc_id", text_col: str = "text", segment_keys: int = SEGMENT_KEYS) -> DataFrame:
     """One row for each input row: id, keep_id, group_size, kept, text_sha256 (see the module's text)."""
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), epoch.cast("int").alias("epoch"))

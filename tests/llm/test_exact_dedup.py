@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from captionloom.llm.exact_dedup import BinaryFuse, exact_dedup
+from captionloom.llm.exact_dedup import BinaryFuse, Snapshots, exact_dedup
 from tests.llm.helpers import docs
 
 
@@ -47,3 +47,19 @@ def test_repeated_and_null_ids(spark):
         ("None", "1", 3, False),
         ("None", "None", 1, False),
     ]
+
+
+def test_snapshots_keep_their_filters(spark, tmp_path):
+    texts = ["a", "b b", None, "", "x" * 50_000, "hot"]
+    batches = [[(100 * k + i, texts[i % (k + 4)] if i % 2 and i % (k + 4) < 6 else f"own {k} {i % 40}") for i in range(60)] for k in range(3)] + [[]]
+    store, first, largest = Snapshots(spark, str(tmp_path / "store"), segment_keys=7), {}, {}
+    for k, rows in enumerate(batches):
+        got = sorted((r.doc_id, r.found_in, r.found_id, r.repeats) for r in store.screen(docs(spark, rows)).collect())
+        last = {t or "": i for i, t in sorted(rows)}
+        assert got == [(i, first.get(t or ""), largest.get(t or ""), i < last[t or ""]) for i, t in rows]
+        # Another object over the same folder goes on where this one ends.
+        assert Snapshots(spark, str(tmp_path / "store"), segment_keys=7).add(docs(spark, rows)) == k
+        for t, i in last.items():
+            if t not in first:
+                first[t], largest[t] = k, i
+    assert store.numbers() == [0, 1, 2, 3]
