@@ -101,3 +101,22 @@ def share_of(total: Column, rank: Column, ranks: int) -> Column:
 
 def batches_of(total: Column, size: int) -> Column:
     return F.ceil(total / size).cast("long")
+
+
+def request_id() -> Column:
+    """A new id for each row, of eight hex digits. A task that runs again draws new ones: settle rows before they are used twice."""
+    return F.substring(F.uuid(), 1, 8)
+
+
+def iso_timestamp(moment: Column) -> Column:
+    """Date and time as ISO text; microseconds are there only where they are not zero."""
+    micros = F.date_format(moment, "SSSSSS")
+    return F.concat(F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss"), F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros)))
+
+
+def image_kind(content: Column) -> Column:
+    """The format that the first bytes of an image tell: jpeg, png, gif, webp, bmp, tiff or avif; null for others."""
+    head = F.hex(F.substring(content, 1, 12))
+    kind = F.when(head.startswith("FFD8FF"), "jpeg").when(head.startswith("89504E470D0A1A0A"), "png").when(head.rlike("^47494638(37|39)61"), "gif")
+    kind = kind.when(head.rlike("^52494646.{8}57454250"), "webp").when(head.startswith("424D"), "bmp")
+    return kind.when(head.startswith("49492A00") | head.startswith("4D4D002A"), "tiff").when(head.rlike("^.{8}6674797061766966"), "avif")

@@ -207,15 +207,17 @@ def extracted_json(text: Column) -> Column:
     """A fence's inside, else the first brace up to the one that closes it (braces in strings do not count), else the text."""
     own = strip(text)
     start = F.instr(own, "{")
-    body = F.filter(F.split(F.substring(own, start, F.length(own)), ""), lambda x: x != "")
-    zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("depth"), F.lit(0).alias("end"), F.lit(False).alias("quoted"), F.lit(False).alias("escaped"))
-
-    def step(a: Column, c: Column) -> Column:
-        mark = ~a["quoted"]
-        depth = a["depth"] + F.when(mark & (c == "{"), 1).when(mark & (c == "}"), -1).otherwise(0)
-        done = (a["end"] == 0) & mark & (c == "}") & (depth == 0)
-        quote = (c == '"') & ~a["escaped"]
-        return F.struct((a["n"] + 1).alias("n"), depth.alias("depth"), F.when(done, a["n"] + 1).otherwise(a["end"]).alias("end"), F.when(quote, ~a["quoted"]).otherwise(a["quoted"]).alias("quoted"), (a["quoted"] & (c == "\\") & ~a["escaped"]).alias("escaped"))
+    # Marks, escaped pairs and the runs between them, so that the fold takes a step for each of these and not for each character.
+    body = F.regexp_extract_all(F.substring(own, start, F.length(own)), F.lit(r'(?s)\\.|["{}]|[^"\\{}]++|\\'), 0)
+    zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("depth"), F.lit(0).alias("end"), F.lit(False).alias("quoted"))
+
+    def step(a: Column, x: Column) -> Column:
+        # Outside strings a backslash escapes nothing, so the character after it counts.
+        mark = F.when(a["quoted"], F.when(x == '"', x)).otherwise(F.right(x, F.lit(1)))
+        depth = a["depth"] + F.when(a["quoted"], 0).when(mark == "{", 1).when(mark == "}", -1).otherwise(0)
+        n = a["n"] + F.length(x)
+        closed = (a["end"] == 0) & ~a["quoted"] & (mark == "}") & (depth == 0)
+        return F.struct(n.alias("n"), depth.alias("depth"), F.when(closed, n).otherwise(a["end"]).alias("end"), (a["quoted"] != F.coalesce(mark == '"', F.lit(False))).alias("quoted"))
 
     end = F.aggregate(body, zero, step, lambda a: a["end"])
     braced = F.when((start > 0) & (end > 0), F.substring(own, start, end)).otherwise(own)
@@ -259,6 +261,34 @@ def parse_json_fields(text: Column, fields: tuple[Field, ...] = DEFAULT_FIELDS)
     return F.get(F.transform(F.array(F.struct(F.try_parse_json(extracted_json(text)).alias("v"))), judge), F.lit(0))
 
 
+def json_text(text: Column) -> Column:
+    """A JSON string that escapes quotes, backslashes and control characters alone."""
+    out = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    safe = out
+    for code in range(32):
+        safe = F.replace(safe, F.lit(chr(code)), F.lit(json.dumps(chr(code))[1:-1]))
+    return F.concat(F.lit('"'), F.when(out.rlike(r"[\x00-\x1f]"), safe).otherwise(out), F.lit('"'))
+
+
+def format_json(data: Column, fields: tuple[Field, ...] = DEFAULT_FIELDS) -> Column:
+    """The fields as JSON text, indented by two; absent values are null and an empty list stays on one line."""
+
+    def shown(f: Field) -> Column:
+        v = data[f.name]
+        if f.kind == "list":
+            items = F.array_join(F.transform(v, lambda x: F.concat(F.lit("    "), F.coalesce(json_text(x), F.lit("null")))), ",\n")
+            text = F.when(F.size(v) == 0, "[]").otherwise(F.concat(F.lit("[\n"), items, F.lit("\n  ]")))
+        elif f.kind == "float":
+            text = python_number(v.cast("double"))
+        elif f.kind == "int":
+            text = v.cast("string")
+        else:
+            text = json_text(v.cast("string"))
+        return F.concat(F.lit(f"  {json.dumps(f.name, ensure_ascii=False)}: "), F.when(v.isNull(), "null").otherwise(text))
+
+    return F.concat(F.lit("{\n"), F.concat_ws(",\n", *[shown(f) for f in fields]), F.lit("\n}")) if fields else F.lit("{}")
+
+
 def json_instruction(fields: tuple[Field, ...] = DEFAULT_FIELDS) -> str:
     hint = {"str": "string", "float": "number", "int": "integer", "list": "array"}
     return json.dumps({f.name: f"{hint.get(f.kind, 'string')}: {f.description}" for f in fields}, indent=2, ensure_ascii=False)
@@ -281,6 +311,9 @@ class KeyValueFormat:
 
 
 class JsonFormat(KeyValueFormat):
+    def format_output(self, data: Column) -> Column:
+        return format_json(data, self.fields)
+
     def instruction(self) -> str:
         return json_instruction(self.fields)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -127,3 +129,11 @@ def letterbox(width: Column, height: Column, to_width: int, to_height: int) -> C
     scale = F.least(F.lit(to_width) / width, F.lit(to_height) / height)
     w, h = F.floor(width * scale).cast("int"), F.floor(height * scale).cast("int")
     return F.struct(w.alias("width"), h.alias("height"), F.floor((to_width - w) / 2).cast("int").alias("left"), F.floor((to_height - h) / 2).cast("int").alias("top"))
+
+
+def series_of(found: Column, vocabulary: dict[int, list[str]]) -> Column:
+    """The distinct, sorted series of the tags found (their indices). The vocabulary is a model's, so its size is bounded;
+    it stands in the plan as an array with a place for each index, and no row is shuffled."""
+    last = max(vocabulary, default=-1)
+    places = F.from_json(F.lit(json.dumps([vocabulary.get(i, []) for i in range(last + 1)])), "array<array<string>>")
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(found, lambda i: F.coalesce(F.get(places, i), F.array().cast("array<string>"))))))

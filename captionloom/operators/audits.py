@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, GroupedData
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 # Bounds of a good description and of scores.
@@ -107,3 +107,12 @@ def download_totals(results: DataFrame, *by: str) -> DataFrame:
 def throughput(batches: GroupedData, tokens: Column, millis: Column) -> DataFrame:
     """tokens a second and milliseconds an item of generated batches."""
     return batches.agg(F.count("*").alias("items"), F.sum(tokens).cast("long").alias("tokens"), ratio(F.sum(tokens).cast("double"), F.max(millis) / 1000).alias("tokens_per_second"), ratio(F.max(millis), F.count("*")).alias("ms_per_item"))
+
+
+def preview(rows: DataFrame, *order: str, line: Column, n: int = 20, rest: str = "problems") -> DataFrame:
+    """position and line: the first n rows in order, then how many more there are. One sort keeps n rows of each task."""
+    first = rows.orderBy(*order).limit(n).select(*order, line.alias("line"))
+    # n rows: what the window gathers is bounded.
+    first = first.select(F.row_number().over(Window.orderBy(*order)).alias("position"), "line")
+    more = rows.agg((F.count("*") - n).alias("more")).where("more > 0")
+    return first.unionByName(more.select(F.lit(n + 1).alias("position"), F.format_string(f"... and %d more {rest}", "more").alias("line")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import random
 import time
@@ -125,7 +126,8 @@ BASE_URLS = {"openai": "https://api.openai.com/v1", "openrouter": "https://openr
 @dataclass(frozen=True)
 class ChatBackend:
     """A chat-completions service; the key is read on the worker, from the environment, unless it is given. A batch's requests
-    run side by side, `concurrency` at a time, and its answers come in the order of its rows."""
+    run side by side, `concurrency` at a time, and its answers come in the order of its rows. `options` go into the body as
+    they are (temperature, top_k, provider, transforms ...); `schema` is JSON text that the answer must follow."""
 
     provider: str
     model: str
@@ -134,6 +136,11 @@ class ChatBackend:
     timeout: float = 60.0
     concurrency: int = 5
     options: tuple[tuple[str, object], ...] = ()
+    system: str | None = None
+    schema: str | None = None
+    strict: bool = True
+    site_url: str | None = None
+    site_name: str | None = None
 
     def settings(self) -> dict:
         if self.provider not in KEY_VARIABLES:
@@ -141,16 +148,21 @@ class ChatBackend:
         key = self.key or os.environ.get(KEY_VARIABLES[self.provider])
         if not key:
             raise ValueError(f"no API key: give one or set {KEY_VARIABLES[self.provider]}")
-        return {"url": f"{self.base_url or BASE_URLS[self.provider]}/chat/completions", "headers": {"Authorization": f"Bearer {key}", "Content-Type": "application/json"}}
+        named = {"HTTP-Referer": self.site_url, "X-Title": self.site_name} if self.provider == "openrouter" else {}
+        headers = {"Authorization": f"Bearer {key}", "Content-Type": "application/json", **{k: v for k, v in named.items() if v}}
+        return {"url": f"{self.base_url or BASE_URLS[self.provider]}/chat/completions", "headers": headers}
 
     def body(self, prompt: str, image: str | None) -> dict:
         content: list[dict] = [{"type": "text", "text": prompt}]
         if image:
             content.append({"type": "image_url", "image_url": {"url": image, "detail": "auto"}})
-        return {"model": self.model, "messages": [{"role": "user", "content": content}], **dict(self.options)}
+        messages: list[dict] = [{"role": "system", "content": self.system}] if self.system else []
+        body = {"model": self.model, "messages": [*messages, {"role": "user", "content": content}], **dict(self.options)}
+        if self.schema:
+            body["response_format"] = {"type": "json_schema", "json_schema": {"name": "caption_response", "strict": self.strict, "schema": json.loads(self.schema)}}
+        return body
 
     def ask(self, prompt: str, image: str | None) -> str:
-        import json
         import urllib.error
         import urllib.request
 
@@ -158,11 +170,14 @@ class ChatBackend:
         request = urllib.request.Request(own["url"], json.dumps(self.body(prompt, image)).encode(), own["headers"])
         try:
             with urllib.request.urlopen(request, timeout=self.timeout) as answer:
-                return json.load(answer)["choices"][0]["message"]["content"]
+                content = json.load(answer)["choices"][0]["message"]["content"]
         except urllib.error.HTTPError as e:
             if e.code == 429:
                 raise RateLimited(str(e)) from e
             raise
+        if content is None:
+            raise RuntimeError("the answer has no content")
+        return content
 
     def generate(self, prompts: list[str], images: list[str | None]) -> list[str]:
         with ThreadPoolExecutor(self.concurrency) as pool:

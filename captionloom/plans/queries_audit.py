@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from captionloom.functions.keys import iso_timestamp
 from captionloom.functions.textops import fixed, percent
 from captionloom.operators import audits, joins
 from captionloom.plans.registry import query, table
@@ -171,3 +172,20 @@ def files_by_item(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, list_contains(json_keys(props), 'k') AS has_k, list_contains(json_keys(props), 'error') AS has_error FROM events")
 def error_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", audits.has_key(F.col("props"), "k").alias("has_k"), audits.has_key(F.col("props"), "error").alias("has_error"))
+
+
+@query(f"""
+    WITH p AS (SELECT row_number() OVER (ORDER BY doc_id) AS i, 'item ' || CAST(doc_id AS VARCHAR) || ': ' || {_STATUS} AS line FROM documents WHERE {_STATUS} <> 'success')
+    SELECT CAST(i AS INTEGER) AS position, line FROM p WHERE i <= 20 UNION ALL SELECT 21, '... and ' || CAST(count(*) - 20 AS VARCHAR) || ' more problems' FROM p HAVING count(*) > 20""")
+def problem_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first twenty problems and how many more there are: the limit is the feature."""
+    rows = audit_problems(spark, sf_dir)
+    return audits.preview(rows, "doc_id", line=F.concat(F.lit("item "), F.col("doc_id").cast("string"), F.lit(": "), "status"))
+
+
+@query("""
+    SELECT event_id, strftime(t, '%Y-%m-%dT%H:%M:%S') || CASE WHEN date_part('microseconds', t) % 1000000 <> 0 THEN '.' || lpad(CAST(date_part('microseconds', t) % 1000000 AS VARCHAR), 6, '0') ELSE '' END AS timestamp
+    FROM (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN date_trunc('second', ts) ELSE ts + INTERVAL 7 MICROSECONDS END AS t FROM events)""")
+def iso_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moment = F.when(F.col("event_id") % 2 == 0, F.date_trunc("second", "ts")).otherwise(F.col("ts") + F.expr("INTERVAL '0.000007' SECOND"))
+    return table(spark, sf_dir, "events").select("event_id", iso_timestamp(moment).alias("timestamp"))

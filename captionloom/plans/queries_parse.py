@@ -194,3 +194,14 @@ def extract_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("event_id") % 3 == 0, F.col("props")).when(F.col("event_id") % 3 == 1, "null").otherwise("{broken")
     got = validating.json_object()(text)
     return table(spark, sf_dir, "events").select("event_id", got["valid"].alias("valid"), got["value"].alias("value"))
+
+
+@query("""
+    SELECT doc_id, '{' || chr(10) || '  "title": ' || coalesce(CAST(to_json(source) AS VARCHAR), 'null') || ',' || chr(10) || '  "description": ' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',' || chr(10)
+           || '  "length": ' || coalesce(CAST(n_chars AS VARCHAR), 'null') || ',' || chr(10) || '  "tags": ' || CASE WHEN doc_id % 3 = 0 THEN '[]' ELSE '[' || chr(10) || '    "' || lang || '",' || chr(10) || '    "b\\\\c"' || chr(10) || '  ]' END || chr(10) || '}' AS json
+    FROM documents""")
+def format_json_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = (parsing.Field("title"), parsing.Field("description"), parsing.Field("length", kind="int"), parsing.Field("tags", kind="list"))
+    tags = F.when(F.col("doc_id") % 3 == 0, F.array().cast("array<string>")).otherwise(F.array("lang", F.lit("b\\c")))
+    data = F.struct(F.col("source").alias("title"), F.col("text").alias("description"), F.col("n_chars").alias("length"), tags.alias("tags"))
+    return table(spark, sf_dir, "documents").select("doc_id", parsing.format_json(data, fields).alias("json"))

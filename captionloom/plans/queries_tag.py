@@ -30,10 +30,11 @@ def tag_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT vec_id, coalesce(string_agg(DISTINCT ip, ',' ORDER BY ip), '') AS series FROM ({_P}) LEFT JOIN (SELECT 48 + n_nationkey % 16 AS k, n_name AS ip FROM nation) ON k = i AND p > 0.55 GROUP BY 1""")
 def ip_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Characters found to the distinct, sorted series that they are from, through the vocabulary table."""
-    found = _scores(spark, sf_dir).select("vec_id", F.explode_outer(tags.above(F.col("p"), 0.55, GENERAL)).alias("i"))
-    vocabulary = table(spark, sf_dir, "nation").select((48 + F.col("n_nationkey") % 16).cast("int").alias("i"), F.col("n_name").alias("ip"))
-    series = found.join(vocabulary, "i", "left").groupBy("vec_id").agg(F.array_sort(F.collect_set("ip")).alias("ips"))
-    return series.select("vec_id", F.array_join("ips", ",").alias("series"))
+    vocabulary: dict[int, list[str]] = {}
+    for row in table(spark, sf_dir, "nation").select("n_nationkey", "n_name").collect():
+        vocabulary.setdefault(GENERAL + row.n_nationkey % 16, []).append(row.n_name)
+    found = tags.above(F.col("p"), 0.55, GENERAL)
+    return _scores(spark, sf_dir).select("vec_id", F.array_join(tags.series_of(found, vocabulary), ",").alias("series"))
 
 
 _THRESHOLD = "CASE WHEN i % 5 = 0 THEN 0.5 + i / 1000 WHEN i < 40 THEN 0.52 WHEN i < 56 THEN 0.54 ELSE 0.4 END"

@@ -45,6 +45,16 @@ def first_items(items: DataFrame, n: int | None, key: str = "image_id") -> DataF
     return items if n is None else items.orderBy(key).limit(n)
 
 
+def quick_items(items: DataFrame, n: int | None) -> DataFrame:
+    """Any n items, for a quick look: unlike `first_items` nothing is sorted, and tasks stop reading when there are enough."""
+    return items if n is None else items.limit(n)
+
+
+def has_any(items: DataFrame) -> bool:
+    """Whether there is an item at all; the scan ends at the first one."""
+    return not items.isEmpty()
+
+
 def read_sidecars(spark: SparkSession, root: str, suffix: str = ".tag.json", schema: T.StructType | str | None = None) -> DataFrame:
     """One row for each readable sidecar: path, image_id and its JSON (columns under a schema, else the text); unreadable ones are left out."""
     if schema is None:
@@ -148,3 +158,18 @@ def write_item_files(items: DataFrame, path: str, id_col: str = "image_id", suff
             os.replace(f"{target}.{os.getpid()}", target)
 
     rows.foreachPartition(put)
+
+
+def repair_files(captions: DataFrame, path: str, id_col: str = "image_id", dry_run: bool = False) -> int:
+    """Brings scores on a scale of ten to one and writes again only the files whose rows changed; gives their number. A dry
+    run counts and writes nothing."""
+    from captionloom.operators.audits import fix_scores
+
+    changed = fix_scores(captions).where("changed").drop("changed").persist()
+    try:
+        n = changed.count()
+        if n and not dry_run:
+            write_item_files(changed, path, id_col)
+        return n
+    finally:
+        changed.unpersist()

@@ -116,3 +116,15 @@ def test_rate_limits_pause_longer_each_time_and_not_alike():
 
     a, b = pauses("0 1"), pauses("1 1")
     assert a != b and all(0.5 * 2**k <= x <= 1.5 * 2**k for k, x in enumerate(a))
+
+
+def test_chat_body():
+    schema = '{"type": "object"}'
+    chat = ChatBackend("openrouter", "m", key="k", options=(("temperature", 0.2), ("provider", {"order": ["x"]})), system="be brief", schema=schema, site_url="http://s", site_name="n")
+    body = chat.body("hello", "data:image/png;base64,AA==")
+    assert [m["role"] for m in body["messages"]] == ["system", "user"] and body["temperature"] == 0.2 and body["provider"] == {"order": ["x"]}
+    assert body["response_format"]["json_schema"] == {"name": "caption_response", "strict": True, "schema": {"type": "object"}}
+    headers = chat.settings()["headers"]
+    assert headers["HTTP-Referer"] == "http://s" and headers["X-Title"] == "n" and headers["Authorization"] == "Bearer k"
+    plain = ChatBackend("openai", "m", key="k", site_url="http://s")
+    assert "HTTP-Referer" not in plain.settings()["headers"] and "response_format" not in plain.body("a", None)

@@ -121,3 +121,40 @@ def test_title(spark, text):
 def test_instructions_name_the_first_field():
     assert "The first line is: # aesthetic_score" in parsing.key_value_instruction(FIELDS)
     assert '"title": "string: ' in parsing.json_instruction(FIELDS)
+
+
+def closing(text):
+    """Character by character: the first brace up to the one that closes it, else the text."""
+    own = text.strip()
+    start = own.find("{")
+    if start < 0:
+        return own
+    depth, quoted, escaped = 0, False, False
+    for i, c in enumerate(own[start:], start):
+        if not quoted and c in "{}":
+            depth += 1 if c == "{" else -1
+            if c == "}" and depth == 0:
+                return own[start : i + 1]
+        if c == '"' and not escaped:
+            quoted = not quoted
+        escaped = quoted and c == "\\" and not escaped
+    return own
+
+
+def test_braces_against_a_fold_over_characters(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice('{}"\\ab\n\U0001f600') for _ in range(rng.randrange(14))) for _ in range(4000)]
+    texts += ['{"a": "}\\""} rest', '{"a": ' + '"\\n"' * 20000 + "} x", "x {" + '"' + "y" * 200000 + '"} z']
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", parsing.extracted_json(F.col("t")).alias("r")).collect()
+    assert all(r.r == closing(texts[r.i]) for r in got) and len(got) == len(texts)
+
+
+def test_json_output(spark):
+    import json
+
+    fields = (Field("title"), Field("score", kind="float"), Field("n", kind="int"), Field("tags", kind="list"))
+    rows = [('a"\\\n\x01\x1f\x7fé\U0001f600', 0.1, 3, ["x", 'y"', "\t"]), (None, None, None, None), ("", 1e-7, -1, []), ("\\u000B", 1.0, 0, [None])]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, d struct<title string, score double, n int, tags array<string>>")
+    got = df.select("i", parsing.JsonFormat(fields).format_output(F.col("d")).alias("t")).orderBy("i").collect()
+    want = [json.dumps(dict(zip([f.name for f in fields], r, strict=True)), indent=2, ensure_ascii=False) for r in rows]
+    assert [r.t for r in got] == want

@@ -5,9 +5,10 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
+from captionloom.functions import keys
 from captionloom.functions.tags import canonical
 from captionloom.operators import audits, joins, rates
-from captionloom.sources import images, items
+from captionloom.sources import downloads, images, items
 from captionloom.streaming import files
 
 
@@ -123,3 +124,47 @@ def test_vocabularies_and_row_places(spark, tmp_path):
         spark.range(10 * k, 10 * k + 10).coalesce(1).write.mode("append").parquet(f"{tmp_path}/rows/{k}")
     rows = items.read_dataset_rows(spark, f"{tmp_path}/rows/*", "id").collect()
     assert sorted(r.id for r in rows) == list(range(30)) and all(r["index"] == r.id for r in rows)
+
+
+def test_downloads(spark, tmp_path):
+    def fetch(url):
+        if "bad" in url:
+            raise OSError("no such image")
+        return url.encode()
+
+    urls = spark.createDataFrame([("a.txt", 1, "http://h/x.png"), ("a.txt", 2, "http://h/bad.gif"), ("b.txt", 1, "http://h/y"), ("b.txt", 2, None)], "file string, position long, url string")
+    seen = lambda: {(r.file, r.position): (r["name"], r.success, r.existed, r.error) for r in downloads.download(urls, str(tmp_path), fetch=fetch).collect()}
+    first = seen()
+    assert first[("a.txt", 1)] == ("0001.png", True, False, None) and first[("b.txt", 1)] == ("0001.jpg", True, False, None)
+    assert first[("a.txt", 2)] == ("0002.gif", False, False, "http://h/bad.gif: no such image") and first[("b.txt", 2)][3] == "no URL"
+    assert (tmp_path / "a" / "0001.png").read_bytes() == b"http://h/x.png" and sorted(p.name for p in tmp_path.rglob("*.*")) == ["0001.jpg", "0001.png"]
+    assert seen()[("a.txt", 1)] == ("0001.png", True, True, None)
+    assert downloads.download(urls.limit(0), str(tmp_path), fetch=fetch).count() == 0
+    named = downloads.download(urls, str(tmp_path / "o"), original_names=True, fetch=fetch).collect()
+    assert {r["name"] for r in named if r.success} == {"x.png", "0001.jpg"}
+
+
+def test_image_content(spark, tmp_path):
+    import base64
+
+    (tmp_path / "i.png").write_bytes(b"\x89PNG\r\n\x1a\n....")
+    text = base64.b64encode(b"\xff\xd8\xff0").decode()
+    rows = [(1, text, None), (2, "data:image/jpeg;base64," + text, "http://h/x"), (3, None, str(tmp_path / "i.png")), (4, None, "http://h/x"), (5, None, "/none.png"), (6, None, None)]
+    df = spark.createDataFrame(rows, "i int, b string, s string")
+    got = df.select("i", downloads.image_content(F.col("b"), F.col("s"), lambda u: b"GIF89a" + u.encode()).alias("r")).select("i", "r.*", keys.image_kind(F.col("r.content")).alias("kind")).orderBy("i").collect()
+    assert [r.kind for r in got] == ["jpeg", "jpeg", "png", "gif", None, None]
+    assert [r.error is None for r in got] == [True, True, True, True, False, False] and got[5].error == "no image"
+
+
+def test_repair_files_and_quick_items(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 7.0, 0.1, 0.2), ("b", 0.5, 0.1, None), ("c", 11.0, 0.0, 0.0)], "image_id string, aesthetic_score double, nsfw_score double, quality_score double")
+    assert items.repair_files(rows, str(tmp_path), dry_run=True) == 1 and not list(tmp_path.iterdir())
+    assert items.repair_files(rows, str(tmp_path)) == 1 and [p.name for p in tmp_path.iterdir()] == ["a.caption.json"]
+    assert json.loads((tmp_path / "a.caption.json").read_text())["aesthetic_score"] == 0.7
+    assert items.quick_items(rows, 2).count() == 2 and items.quick_items(rows, None).count() == 3
+    assert items.has_any(rows) and not items.has_any(rows.limit(0))
+
+
+def test_request_ids(spark):
+    ids = [r.i for r in spark.range(50).select(keys.request_id().alias("i")).collect()]
+    assert len(set(ids)) == 50 and all(len(i) == 8 and int(i, 16) >= 0 for i in ids)
