@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
+from captionloom.operators.lineage import settle
+
 # Bounds of a good description and of scores.
 SHORTEST, LONGEST = 100, 2000
 SCORES = ("aesthetic_score", "nsfw_score", "quality_score")
@@ -35,6 +37,45 @@ def spread(groups: GroupedData | DataFrame, **columns: Column) -> DataFrame:
     return groups.agg(*made)
 
 
+def spread_by(df: DataFrame, *by: str, gathered: int = 1_000_000, **columns: Column) -> DataFrame:
+    """`spread` for a few groups of any size. While a group holds more than `gathered` values between two bounds around its
+    median, approximate percentiles move the bounds closer; the ranks are counted, so the median is exact. No task gathers
+    more than the values between the bounds, each distinct one once. Groups of null keys are groups."""
+    key, names = F.struct(*by), list(columns)
+    whole = df.groupBy(*by).agg(*[f(c).alias(f"{n}_{a}") for n, c in columns.items() for a, f in (("count", F.count), ("min", F.min), ("max", F.max), ("mean", F.avg))])
+    if not by or max(n or 0 for n in whole.agg(*[F.max(f"{n}_count") for n in names]).first()) <= gathered:
+        return spread(df.groupBy(*by), **columns)
+    long = df.select(F.to_json(key, {"ignoreNullFields": "false"}).alias("__key"), F.inline(F.array(*[F.struct(F.lit(n).alias("__name"), c.cast("double").alias("__v")) for n, c in columns.items()]))).where("__v IS NOT NULL")
+    groups = ["__key", "__name"]
+    # One row for each group and column: few by this function's contract.
+    bounds = settle(long.groupBy(*groups).agg(F.count("*").alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")).select(*groups, "__n", "__lo", "__hi", F.lit(0).cast("long").alias("__below"), F.col("__n").alias("__in")))
+    low, high = F.floor((F.col("__n") - 1) / 2), F.floor(F.col("__n") / 2)
+    inside = F.col("__v").between(F.col("__lo"), F.col("__hi"))
+    while True:
+        wide = bounds.where((F.col("__in") > gathered) & (F.col("__lo") < F.col("__hi")))
+        if wide.isEmpty():
+            break
+        near = (low - F.col("__below")) / F.col("__in")
+        cuts = long.join(wide, groups).where(inside).groupBy(*groups).agg(F.percentile_approx("__v", [i / 1000 for i in range(1001)], 10_000).alias("__cuts"))
+        at = F.floor(near * 1000).cast("int")
+        tried = wide.join(cuts, groups).withColumns({"__a": F.greatest("__lo", F.get("__cuts", F.greatest(at - 1, F.lit(0)))), "__b": F.least("__hi", F.get("__cuts", F.least(at + 3, F.lit(1000))))})
+        ranks = long.join(tried.select(*groups, "__a", "__b"), groups).groupBy(*groups).agg(F.count_if(F.col("__v") < F.col("__a")).alias("__less"), F.count_if(F.col("__v").between(F.col("__a"), F.col("__b"))).alias("__got"))
+        held = (F.col("__less") <= low) & (F.col("__less") + F.col("__got") > high)
+        closer = tried.join(ranks, groups).select(*groups, "__n", F.col("__a").alias("__lo"), F.col("__b").alias("__hi"), F.col("__less").alias("__below"), F.col("__got").alias("__in"), held.alias("__held"), (F.col("__got") < F.col("__in")).alias("__less_in"))
+        closer = settle(closer.where("__held AND __less_in").drop("__held", "__less_in"))
+        if closer.isEmpty():
+            break
+        bounds = settle(bounds.join(closer.select(*groups), groups, "left_anti").unionByName(closer))
+    counts = long.join(bounds, groups).where(inside).groupBy(*groups, "__v").agg(F.count("*").alias("__c"), F.first("__n").alias("__n"), F.first("__below").alias("__below"))
+    upto = F.col("__below") + F.sum("__c").over(Window.partitionBy(*groups).orderBy("__v"))
+    ranked = counts.withColumn("__upto", upto)
+    hits = lambda rank: (F.col("__upto") - F.col("__c") <= rank) & (F.col("__upto") > rank)
+    medians = ranked.groupBy(*groups).agg(((F.max(F.when(hits(low), F.col("__v"))) + F.max(F.when(hits(high), F.col("__v")))) / 2).alias("__median"))
+    medians = medians.groupBy("__key").pivot("__name", names).agg(F.first("__median"))
+    out = whole.withColumn("__key", F.to_json(key, {"ignoreNullFields": "false"})).join(medians, "__key", "left")
+    return out.select(*by, *[c for n in names for c in (f"{n}_count", f"{n}_min", f"{n}_max", f"{n}_mean", F.col(n).alias(f"{n}_median"))])
+
+
 def score_issue(score: Column) -> Column:
     """below_0 and above_10 cannot be fixed; above_1 is on a scale of ten."""
     return F.when(score < 0, "below_0").when(score > 10, "above_10").when(score > 1, "above_1").otherwise("ok")

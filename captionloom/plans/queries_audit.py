@@ -19,8 +19,7 @@ _STATUS = "CASE WHEN length(text) < 100 THEN 'too_short' WHEN length(text) > 200
     FROM documents GROUP BY 1, 2""")
 def audit_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("lang", audits.caption_status(F.col("text")).alias("status"), F.length("text").alias("length"))
-    groups = docs.groupBy("lang", "status")
-    return audits.spread(groups, length=F.col("length")).withColumnRenamed("length_count", "rows")
+    return audits.spread_by(docs, "lang", "status", length=F.col("length")).withColumnRenamed("length_count", "rows")
 
 
 @query(f"SELECT doc_id, {_STATUS} AS status, length(text) AS length FROM documents WHERE {_STATUS} <> 'success'")
@@ -111,8 +110,7 @@ _SPREAD = ", ".join(f"count({c}) AS {n}_count, min({c}) AS {n}_min, max({c}) AS
 
 @query(f"SELECT l_returnflag, {_SPREAD} FROM lineitem GROUP BY 1")
 def score_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "lineitem").groupBy("l_returnflag")
-    return audits.spread(items, price=F.col("l_extendedprice"), quantity=F.col("l_quantity"), discount=F.col("l_discount"))
+    return audits.spread_by(table(spark, sf_dir, "lineitem"), "l_returnflag", price=F.col("l_extendedprice"), quantity=F.col("l_quantity"), discount=F.col("l_discount"))
 
 
 def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:

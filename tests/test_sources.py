@@ -168,3 +168,21 @@ def test_repair_files_and_quick_items(spark, tmp_path):
 def test_request_ids(spark):
     ids = [r.i for r in spark.range(50).select(keys.request_id().alias("i")).collect()]
     assert len(set(ids)) == 50 and all(len(i) == 8 and int(i, 16) >= 0 for i in ids)
+
+
+def test_medians_of_large_groups(spark):
+    import random
+    import statistics
+
+    rng = random.Random(3)
+    rows = [(g, h, v) for g, h, n, spots in (("a", 1, 3001, 10**9), ("a", None, 2000, 5), (None, 1, 1500, 300), ("b", 2, 2, 9), ("c", 3, 0, 1)) for v in (rng.randrange(spots) / 7 for _ in range(n))]
+    rows += [("c", 3, None), ("b", 2, None), *[("d", 4, 1.5)] * 1200]
+    df = spark.createDataFrame(rows, "g string, h int, v double").repartition(5)
+    got = {(r.g, r.h): r for r in audits.spread_by(df, "g", "h", gathered=50, v=F.col("v"), w=-F.col("v")).collect()}
+    plain = {(r.g, r.h): r for r in audits.spread(df.groupBy("g", "h"), v=F.col("v"), w=-F.col("v")).collect()}
+    assert len(got) == 6 == len(plain)
+    for key, r in got.items():
+        own = [v for g, h, v in rows if (g, h) == key and v is not None]
+        assert r.v_count == len(own) and r.v_median == (statistics.median(own) if own else None)
+        assert (r.w_median, r.v_min, r.w_max) == (plain[key].w_median, plain[key].v_min, plain[key].w_max)
+    assert audits.spread_by(df.limit(0), "g", v=F.col("v")).count() == 0
