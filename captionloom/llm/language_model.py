@@ -1,31 +1,37 @@
 """Language-model scoring with a hierarchical Pitman-Yor model.
 
 Tokens are words and one end for each text. A word is served in the restaurant of its context, the
-last two bytes of the word before it; that restaurant's parent is the context of the last byte
-alone, whose parent is the root that all contexts share, whose base is uniform over the training
-words and one unknown word. Each table of a restaurant is a customer of its parent. How many tables
-serve a dish is sampled by Gibbs sweeps (the seating of a dish's customers given the rest: exactly,
-through generalised Stirling numbers, up to EXACT customers; beyond that by a Poisson draw at the
-saddle point of the same law), and the predictive probabilities of the sweeps after the burn-in are averaged.
+word before it (the end, for a text's first token); that restaurant's parent is the context of all
+words with the same last byte, whose parent is the root that all contexts share, whose base is
+uniform over the training words and one unknown word. Each table of a restaurant is a customer of
+its parent. How many tables serve a dish is sampled by Gibbs sweeps (the seating of a dish's customers
+given the rest: exactly, through generalised Stirling numbers, up to EXACT customers; beyond that by a
+Poisson draw at the saddle point of the same law), and the predictive probabilities of the sweeps
+after the burn-in are averaged.
 
 How it is spread: documents become blocks of packed token numbers with a vocabulary of their own,
-kept by a reliable checkpoint. Every block asks for its (context, word) pairs, with its training
-counts, once, at the partition that the word's hash gives; so a partition holds a word in all its contexts
-and the whole chain of restaurants for it, and a frequent word costs a block at most one row for each context. Only the
-restaurants' totals (at most 65,536 contexts) are summed for all partitions after each sweep. The
-answers go back to the blocks. What is gathered grows with the corpus; nothing is capped or sampled.
+kept by a reliable checkpoint. The words' training counts are summed at the partition that a word's hash
+gives, where each training word gets a name of few digits; the partition can be told from the name. Every
+block then sends its (context, word) pairs with their training counts once to the word's partition; so a
+partition holds a word in all its contexts and the whole chain of restaurants for it. There are as many
+word contexts as training words; after each sweep a context's tables are summed at the partition that
+owns it as a word, and the sum goes back to the partitions that may move its tables. Only the
+256 parents and the root have totals that the driver sums. At the end each block asks for its pairs' customers and
+tables and computes the probabilities itself. What is gathered grows with the corpus; nothing is capped or sampled.
 
 Words are told apart by 64-bit hashes.
 
 Defined cases: null text counts as empty, which is one end token; words unknown in training get the
-uniform base's share; without training documents every score is that of the uniform base; ids may
-repeat or be null and keep their rows; an empty table gives no rows; further columns are ignored.
+uniform base's share, and as contexts have an empty restaurant below that of their last byte; without training
+documents every score is that of the uniform base; ids may repeat or be null and keep their rows; an empty
+table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +41,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from captionloom.llm.common import settle, sliced
+from captionloom.llm.common import release, settle, sliced
 
 #: Characters of a block; tokens for each partition of words.
-BLOCK_CHARS, PART_TOKENS = 10_000_000, 6_000_000
+BLOCK_CHARS, PART_TOKENS = 10_000_000, 3_000_000
 #: Gibbs sweeps that are thrown away and that are averaged; customers up to which a dish's tables are sampled exactly.
 BURN_IN, KEPT, EXACT = 2, 3, 32
 #: Concentration of every restaurant; least and largest discount.
 STRENGTH, DISCOUNTS = 1.0, (0.1, 0.95)
-END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))
+#: Bytes that part words; the last byte of an end.
+SPACES, END = np.isin(np.arange(256), [*b" \t\n\r\x0b\x0c"]), np.frombuffer(b"\n", np.uint8)
+#: Parents; contexts where each is a number of two bytes whose last byte is its parent.
 CONTEXTS, PARENTS = 1 << 16, 1 << 8
 
 
@@ -57,31 +65,52 @@ def unpack(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
+def bundle(**arrays: np.ndarray) -> bytes:
+    """Arrays of whole numbers from 0 on, in as few bytes as the greatest needs; sums of what comes back need a wider type."""
+    slim = {k: a.astype(np.min_scalar_type(a.max()) if len(a) else np.uint8) for k, a in arrays.items()}
+    return pickle.dumps({k: (a.dtype.str, pack(a)) for k, a in slim.items()})
+
+
+def opened(data: bytes) -> dict[str, np.ndarray]:
+    return {k: unpack(packed, np.dtype(kind)) for k, (kind, packed) in pickle.loads(data).items()}
+
+
+def groups(owner: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each owner from 0 on, and the places that it has, in order."""
+    order = np.argsort(owner, kind="stable")
+    found, at = np.unique(owner[order], return_index=True)
+    for r, places in zip(found.tolist(), np.split(order, at[1:]), strict=False):
+        if r >= 0:
+            yield r, places
+
+
 # --- blocks ---------------------------------------------------------------------------------------
 
 
 def tokenised(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Vocabulary (sorted hashes), the tokens' numbers in it, their contexts, and tokens for each text."""
+    """Vocabulary (sorted hashes), its words' last bytes, the tokens' numbers in it, and tokens for each text."""
     # Words become numbers one text at a time, so that a block's words are never held together.
     each, ends = [], []
     lengths = np.zeros(len(texts), np.int64)
     for k, text in enumerate(texts):
-        own = [*(text or "").encode().lower().split(), b"\n"]
+        data = (text or "").encode().lower()
+        own = [*data.split(), b"\n"]
         lengths[k] = len(own)
         each.append(np.fromiter(map(xxhash.xxh3_64_intdigest, own), np.uint64, len(own)))
-        ends.append(np.fromiter((int.from_bytes(w[-2:], "big") for w in own), np.uint16, len(own)))
-    hashes, tails = np.concatenate(each), np.concatenate(ends)
-    # A token's context is the tail of the word before it; a text's first token has context 0.
-    contexts = np.concatenate([[np.uint16(0)], tails[:-1]]).astype(np.uint16)
-    contexts[np.cumsum(lengths)[:-1]] = 0
-    vocabulary, numbers = np.unique(hashes, return_inverse=True)
-    return vocabulary, numbers.astype(np.uint32), contexts, lengths
+        raw = np.frombuffer(data + b" ", np.uint8)
+        space = SPACES[raw]
+        ends += [raw[:-1][space[1:] & ~space[:-1]], END]
+    vocabulary, first, numbers = np.unique(np.concatenate(each), return_index=True, return_inverse=True)
+    return vocabulary, np.concatenate(ends)[first], numbers.astype(np.uint32), lengths
+
+
+BLOCK_COLS = ("ids", "learn", "lengths")
 
 
 def blocks(docs: DataFrame, learn: Column, id_col: str, text_col: str, block_chars: int) -> DataFrame:
     lean = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
     kind = lean.schema["id"].dataType.simpleString()
-    schema = f"block string, ids array<{kind}>, learn array<boolean>, lengths array<int>, vocabulary binary, numbers binary, contexts binary, tokens long, training long"
+    schema = f"block string, ids array<{kind}>, learn array<boolean>, lengths array<int>, data binary, tokens long, training long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, k, held = TaskContext.get().partitionId(), 0, 0
@@ -89,9 +118,9 @@ def blocks(docs: DataFrame, learn: Column, id_col: str, text_col: str, block_cha
 
         def flush() -> pa.RecordBatch:
             ids, texts, learns = zip(*rows, strict=True)
-            vocabulary, numbers, contexts, lengths = tokenised(list(texts))
-            row = {"block": f"{part}-{k}", "ids": list(ids), "learn": list(learns), "lengths": lengths.tolist(), "vocabulary": pack(vocabulary), "numbers": pack(numbers), "contexts": pack(contexts), "tokens": int(lengths.sum()), "training": int(lengths[np.array(learns, bool)].sum())}
-            own = pa.schema([("block", pa.string()), ("ids", pa.list_(id_type)), ("learn", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int32())), *[(n, pa.binary()) for n in ("vocabulary", "numbers", "contexts")], ("tokens", pa.int64()), ("training", pa.int64())])
+            vocabulary, tails, numbers, lengths = tokenised(list(texts))
+            row = {"block": f"{part}-{k}", "ids": list(ids), "learn": list(learns), "lengths": lengths.tolist(), "data": bundle(vocabulary=vocabulary, tails=tails, numbers=numbers), "tokens": int(lengths.sum()), "training": int(lengths[np.array(learns, bool)].sum())}
+            own = pa.schema([("block", pa.string()), ("ids", pa.list_(id_type)), ("learn", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int32())), ("data", pa.binary()), ("tokens", pa.int64()), ("training", pa.int64())])
             return pa.RecordBatch.from_pylist([row], schema=own)
 
         for batch in sliced(batches):
@@ -108,83 +137,169 @@ def blocks(docs: DataFrame, learn: Column, id_col: str, text_col: str, block_cha
     return settle(lean.mapInArrow(run, schema))
 
 
-class Pairs:
-    """A block's distinct (word, context) pairs in order, and each token's place among them."""
+# --- names of words -------------------------------------------------------------------------------
 
-    def __init__(self, row: dict):
-        self.vocabulary = unpack(row["vocabulary"], np.uint64)
-        self.lengths = np.asarray(row["lengths"], np.int64)
-        self.learn = np.asarray(row["learn"], bool)
-        self.numbers = unpack(row["numbers"], np.uint32)
-        key = (self.numbers.astype(np.uint64) << np.uint64(16)) | unpack(row["contexts"], np.uint16)
-        self.keys, self.place = np.unique(key, return_inverse=True)
-        self.word = (self.keys >> np.uint64(16)).astype(np.int64)
-        self.context = (self.keys & np.uint64(0xFFFF)).astype(np.uint16)
+ASK = "part int, block string, data binary"
+ASKED = pa.schema([("part", pa.int32()), ("block", pa.string()), ("data", pa.binary())])
+
+
+def rows_of(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def words_of(made: DataFrame, parts: int) -> DataFrame:
+    """For each block and partition: hashes of words and their training counts."""
+    edges = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                held = opened(row["data"])
+                words = held["vocabulary"]
+                counts = np.bincount(held["numbers"][np.repeat(np.array(row["learn"], bool), row["lengths"])], minlength=len(words))
+                cut = [0, *np.searchsorted(words, edges).tolist(), len(words)]
+                out = [(r, row["block"], bundle(words=words[lo:hi], counts=counts[lo:hi])) for r, (lo, hi) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if hi > lo]
+                yield from rows_of(out, ASKED).to_batches()
+
+    return made.select("block", "learn", "lengths", "data").mapInArrow(run, ASK)
+
+
+def naming(parts: int) -> Callable[[pa.Table], pa.Table]:
+    """Names of one partition's words: (rank + 1) * parts + partition, the commonest first, and 0 for words unknown in training."""
+
+    def run(asked: pa.Table) -> pa.Table:
+        part = asked["part"][0].as_py()
+        got = [opened(d) for d in asked["data"].to_pylist()]
+        words, back = np.unique(np.concatenate([g["words"] for g in got]), return_inverse=True)
+        counts = np.bincount(back, np.concatenate([g["counts"] for g in got]), len(words)).astype(np.int64)
+        rank = np.empty(len(words), np.int64)
+        rank[np.argsort(-counts, kind="stable")] = np.arange(len(words))
+        names = np.where(counts > 0, (rank + 1) * parts + part, 0).astype(np.uint64)
+        ends = np.cumsum([len(g["words"]) for g in got])
+        out = [(part, block, bundle(names=names[own], counts=counts[own])) for block, own in zip(asked["block"].to_pylist(), np.split(back, ends[:-1]), strict=True)]
+        return rows_of(out, ASKED)
+
+    return run
 
-    def parts(self, parts: int) -> Iterator[tuple[int, slice, slice]]:
-        """Slices of the vocabulary and of the pairs that belong to each partition of words."""
-        edges = [(k << 64) // parts for k in range(1, parts)]
-        cut = [0, *np.searchsorted(self.vocabulary, np.array(edges, np.uint64)).tolist(), len(self.vocabulary)]
-        at = np.searchsorted(self.word, cut)
-        for r in range(parts):
-            if cut[r + 1] > cut[r]:
-                yield r, slice(cut[r], cut[r + 1]), slice(int(at[r]), int(at[r + 1]))
 
+def numbered(made: DataFrame, parts: int) -> DataFrame:
+    """Blocks whose vocabulary is (name, last byte), with its training counts; for each text its known tokens and sum of log10(count + 1)."""
+    named = words_of(made, parts).groupBy("part").applyInArrow(naming(parts), ASK)
 
-ASK = "part int, block string, words binary, spans binary, contexts binary, counts binary"
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        row = block.to_pylist()[0]
+        held = opened(row["data"])
+        got = [opened(r["data"]) for r in sorted(answers.to_pylist(), key=lambda r: r["part"])]
+        names, counts = (np.concatenate([g[k] for g in got]).astype(kind) for k, kind in (("names", np.uint64), ("counts", np.int64)))
+        starts = np.concatenate([[0], np.cumsum(row["lengths"])[:-1]])
+        c = counts[held["numbers"]]
+        words, first, back = np.unique((names << np.uint64(8)) | held["tails"], return_index=True, return_inverse=True)
+        table = block.select(["block", *BLOCK_COLS])
+        table = table.append_column("known", pa.array([np.add.reduceat((c > 0).astype(np.int64), starts)], pa.list_(pa.int64())))
+        table = table.append_column("logs", pa.array([np.add.reduceat(np.log10(c + 1), starts)], pa.list_(pa.float64())))
+        data = bundle(words=words, counts=counts[first], numbers=back[held["numbers"]])
+        return table.append_column("data", pa.array([data], pa.binary()))
+
+    kind = made.schema["ids"].dataType.simpleString()
+    schema = f"block string, ids {kind}, learn array<boolean>, lengths array<int>, known array<long>, logs array<double>, data binary"
+    whole = made.select("block", *BLOCK_COLS, "data")
+    return settle(whole.groupBy("block").cogroup(named.groupBy("block")).applyInArrow(run, schema))
 
 
-def requests(blocks: DataFrame, parts: int) -> DataFrame:
-    """For each block and partition: words, pairs of each word, contexts and training counts of the pairs."""
+class Pairs:
+    """A numbered block's distinct (word, context) pairs in order, each token's place among them, and their (word, last byte) pairs."""
+
+    def __init__(self, row: dict, parts: int):
+        held = opened(row["data"])
+        self.words, self.counts, numbers = held["words"].astype(np.uint64), held["counts"].astype(np.int64), held["numbers"].astype(np.int64)
+        self.lengths = np.asarray(row["lengths"], np.int64)
+        self.learn = np.asarray(row["learn"], bool)
+        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
+        # A token's context is the word before it; a text's first token follows an end.
+        before = np.concatenate([[0], numbers[:-1]])
+        before[self.starts] = numbers[self.lengths[0] - 1]
+        keys, self.place = np.unique((numbers << 32) | before, return_inverse=True)
+        self.word, self.context = keys >> 32, keys & 0xFFFFFFFF
+        self.tail = (self.words[self.context] % np.uint64(PARENTS)).astype(np.int64)
+        self.keys1, self.up1 = np.unique((self.word << 8) | self.tail, return_inverse=True)
+        names = (self.words >> np.uint64(8)).astype(np.int64)
+        self.part = np.where(names > 0, names % parts, -1)
+
+    def parts(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Each partition's words, pairs of word and last byte, and pairs; words unknown in training have none."""
+        own = (groups(self.part), groups(self.part[self.keys1 >> 8]), groups(self.part[self.word]))
+        for (r, words), (_, pairs1), (_, pairs2) in zip(*own, strict=True):
+            yield r, words, pairs1, pairs2
+
+
+def requests(named: DataFrame, parts: int, training: bool) -> DataFrame:
+    """For each block and partition: names of words, pairs of each word, and contexts of the pairs; in training with their counts, where there are any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                p = Pairs(row)
-                counts = np.bincount(p.place[np.repeat(p.learn, p.lengths)], minlength=len(p.keys)).astype(np.uint32)
+                p = Pairs(row, parts)
+                counts = np.bincount(p.place[np.repeat(p.learn, p.lengths)], minlength=len(p.word))
                 out = []
-                for r, words, pairs in p.parts(parts):
-                    spans = np.bincount(p.word[pairs] - words.start, minlength=words.stop - words.start).astype(np.uint32)
-                    out.append({"part": r, "block": row["block"], "words": pack(p.vocabulary[words]), "spans": pack(spans), "contexts": pack(p.context[pairs]), "counts": pack(counts[pairs])})
-                yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("part", pa.int32()), ("block", pa.string()), *[(n, pa.binary()) for n in ("words", "spans", "contexts", "counts")]]))
+                for r, words, _, pairs in p.parts():
+                    pairs = pairs[counts[pairs] > 0] if training else pairs
+                    spans = np.bincount(np.searchsorted(words, p.word[pairs]), minlength=len(words))
+                    more = {"counts": counts[pairs]} if training else {}
+                    out.append((r, row["block"], bundle(words=p.words[words] >> np.uint64(8), spans=spans, contexts=p.words[p.context[pairs]], **more)))
+                yield from rows_of(out, ASKED).to_batches()
 
-    return blocks.select("block", "learn", "lengths", "vocabulary", "numbers", "contexts").mapInArrow(run, ASK)
+    return named.select("block", "learn", "lengths", "data").mapInArrow(run, ASK)
 
 
 # --- restaurants ----------------------------------------------------------------------------------
 
-MODEL = "part int, words binary, spans binary, contexts binary, counts binary"
-
-
-def _merged(table: pa.Table) -> pa.Table:
-    """Sums the blocks' training counts in one partition of words."""
-    words, pairs, counts = np.zeros(0, np.uint64), np.zeros((0, 2), np.uint64), np.zeros(0, np.int64)
-    pending: list[tuple[np.ndarray, np.ndarray]] = []
-    held = 0
-
-    def fold() -> None:
-        nonlocal pairs, counts, held
-        flat = np.concatenate([pairs, *[p for p, _ in pending]])
-        number = np.concatenate([counts, *[c for _, c in pending]])
-        order = np.lexsort((flat[:, 1], flat[:, 0]))
-        flat, number = flat[order], number[order]
-        new = np.concatenate([[True], (flat[1:] != flat[:-1]).any(axis=1)]) if len(flat) else np.zeros(0, bool)
-        at = np.flatnonzero(new)
-        pairs, counts = flat[at], np.add.reduceat(number, at) if len(at) else number
-        pending.clear()
+#: Rows of the sampler. fixed: a partition's pairs; state: its tables; up: contexts' tables for the partition that owns
+#: them; down: their sums for the partition that asks; sums: totals for the driver.
+ROW = "kind string, sweep int, part int, source int, data binary"
+ROWS = pa.schema([("kind", pa.string()), ("sweep", pa.int32()), ("part", pa.int32()), ("source", pa.int32()), ("data", pa.binary())])
+
+
+def merging(parts: int) -> Callable[[pa.Table], pa.Table]:
+    """Sums the blocks' training counts in one partition of words, and seats each dish at one table."""
+
+    def run(asked: pa.Table) -> pa.Table:
+        part = asked["part"][0].as_py()
+        word, context, counts = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         held = 0
 
-    for row in zip(*(table[n].to_pylist() for n in ("words", "spans", "contexts", "counts")), strict=True):
-        w, s, u, c = unpack(row[0], np.uint64), unpack(row[1], np.uint32), unpack(row[2], np.uint16), unpack(row[3], np.uint32)
-        used = c > 0
-        pending.append((np.stack([np.repeat(w, s)[used], u[used].astype(np.uint64)], axis=1), c[used].astype(np.int64)))
-        held += int(used.sum())
-        if held > 2_000_000:
-            fold()
-    fold()
-    words, spans = np.unique(pairs[:, 0], return_counts=True)
-    out = {"part": [table["part"][0].as_py()], "words": [pack(words)], "spans": [pack(spans.astype(np.uint32))], "contexts": [pack(pairs[:, 1].astype(np.uint16))], "counts": [pack(counts)]}
-    return pa.table({"part": pa.array(out["part"], pa.int32()), **{n: pa.array(out[n], pa.binary()) for n in ("words", "spans", "contexts", "counts")}})
+        def fold() -> None:
+            nonlocal word, context, counts, held
+            w, u, c = (np.concatenate(x) for x in zip((word, context, counts), *pending, strict=True))
+            pending.clear()
+            names, u = np.unique(u, return_inverse=True)
+            w = (w << 32) | u
+            del u
+            w, back = np.unique(w, return_inverse=True)
+            word, context, counts = w >> 32, names[w & 0xFFFFFFFF], np.bincount(back, c, len(w)).astype(np.int64)
+            held = 0
+
+        for data in asked["data"].to_pylist():
+            got = opened(data)
+            ranks = got["words"].astype(np.int64) // parts - 1
+            pending.append((np.repeat(ranks, got["spans"]), got["contexts"].astype(np.uint64), got["counts"].astype(np.int64)))
+            held += len(got["contexts"])
+            if held > 1_000_000:
+                fold()
+        fold()
+        if not len(word):
+            return rows_of([], ROWS)
+        names, at = np.unique(context, return_inverse=True)
+        # Each training word is some training token, so the ranks have no gaps.
+        fixed = bundle(spans=np.bincount(word), contexts=at, counts=counts, names=names)
+        del word, context, counts
+        own = Restaurants(part, fixed)
+        rows = [("fixed", -1, part, part, fixed), own.sums_row(-1)]
+        rows += own.up_rows(-1, parts, np.arange(len(names)), np.bincount(at, minlength=len(names)))
+        return rows_of(rows, ROWS)
+
+    return run
 
 
 def log_stirling(discount: float, most: int = EXACT) -> np.ndarray:
@@ -234,14 +349,21 @@ def _mean_tables(customers: np.ndarray, weight: np.ndarray, discount: float) ->
 
 
 class Totals:
-    """What all partitions share: vocabulary size, discounts, customers and tables of each restaurant."""
+    """What all partitions share: vocabulary size, discounts, customers and tables of each restaurant.
+
+    c2, t2: of the contexts that the caller numbers; c1: of the parents, by itself where those are all contexts.
+    """
 
-    def __init__(self, v: int, discounts: tuple[float, float, float], c2: np.ndarray, t2: np.ndarray, t1: np.ndarray, t0: float):
+    def __init__(self, v: int, discounts: tuple[float, float, float], c2: np.ndarray, t2: np.ndarray, t1: np.ndarray, t0: float, c1: np.ndarray | None = None):
         self.v, self.discounts = v, discounts
         self.c2, self.t2, self.t1, self.t0 = c2, t2, t1, t0
-        self.c1 = np.bincount(np.arange(CONTEXTS) % PARENTS, t2, PARENTS)
+        self.c1 = np.bincount(np.arange(CONTEXTS) % PARENTS, t2, PARENTS) if c1 is None else c1
         self.c0 = float(t1.sum())
 
+    def of(self, c2: np.ndarray, t2: np.ndarray) -> Totals:
+        """The same above the contexts, for other contexts."""
+        return Totals(self.v, self.discounts, c2, t2, self.t1, self.t0, self.c1)
+
     def root(self, c: np.ndarray, t: np.ndarray) -> np.ndarray:
         d = self.discounts[0]
         return (c - d * t + (STRENGTH + d * self.t0) / (self.v + 1)) / (STRENGTH + self.c0)
@@ -256,16 +378,18 @@ class Totals:
 
 
 class Seating:
-    """The restaurants of one partition of words, from the leaves (word, two bytes) to the root (word)."""
+    """The restaurants of one partition of words, from the leaves (word, context) to the root (word)."""
 
     def __init__(self, row: dict):
-        self.part = row["part"]
-        self.words = unpack(row["words"], np.uint64)
-        self.word = np.repeat(np.arange(len(self.words)), unpack(row["spans"], np.uint32))
-        self.u2 = unpack(row["contexts"], np.uint16).astype(np.int64)
-        self.c2 = unpack(row["counts"], np.int64)
-        self.keys2 = (self.word << 16) | self.u2
-        self.keys1, self.up1 = np.unique((self.word << 8) | (self.u2 % PARENTS), return_inverse=True)
+        u2 = unpack(row["contexts"], np.uint16).astype(np.int64)
+        self._open(row["part"], unpack(row["words"], np.uint64), unpack(row["spans"], np.uint32), u2, unpack(row["counts"], np.int64), 16, u2 % PARENTS)
+
+    def _open(self, part: int, words: np.ndarray, spans: np.ndarray, contexts: np.ndarray, counts: np.ndarray, bits: int, parents: np.ndarray) -> None:
+        """bits: of a context's number; parents: of each pair."""
+        self.part, self.words, self.u2, self.c2 = part, words, contexts, counts
+        self.word = np.repeat(np.arange(len(words)), spans)
+        self.keys2 = (self.word << bits) | self.u2
+        self.keys1, self.up1 = np.unique((self.word << 8) | parents, return_inverse=True)
         self.up0, self.u1 = self.keys1 >> 8, self.keys1 % PARENTS
         self.t2 = np.ones(len(self.c2), np.int64)
         self.t1 = np.ones(len(self.keys1), np.int64)
@@ -289,10 +413,18 @@ class Seating:
         self.t0 = seat(self.c0, np.full(len(self.words), (STRENGTH + d0 * g.t0) / (g.v + 1)), d0, rng)
 
     def sums(self) -> Iterator[tuple[str, int, float]]:
-        for kind, size, u, x in (("t2", CONTEXTS, self.u2, self.t2), ("t1", PARENTS, self.u1, self.t1), ("c2", CONTEXTS, self.u2, self.c2)):
+        for kind, size, u, x in (("t2", CONTEXTS, self.u2, self.t2), ("c2", CONTEXTS, self.u2, self.c2)):
             total = np.bincount(u, x, size)
             for k in np.flatnonzero(total):
                 yield kind, int(k), float(total[k])
+        yield from self.upper_sums()
+
+    def upper_sums(self) -> Iterator[tuple[str, int, float]]:
+        """Totals above the contexts, and how many dishes have one and two customers at each level."""
+        for kind, x in (("t1", self.t1), ("c1", self.c1)):
+            total = np.bincount(self.u1, x, PARENTS)
+            for k in np.flatnonzero(total):
+                yield kind, int(k), float(total[k])
         yield "t0", 0, float(self.t0.sum())
         yield "v", 0, float(len(self.words))
         for level, c in enumerate((self.c0, self.c1, self.c2)):
@@ -300,30 +432,110 @@ class Seating:
             yield "twos", level, float((c == 2).sum())
 
 
-def _totals(model: DataFrame, history: list[Totals]) -> Totals:
-    """Sums the restaurants' totals after as many sweeps as there are totals so far (a bounded number of rows)."""
-    sent = model.sparkSession.sparkContext.broadcast(history)
+class Restaurants(Seating):
+    """A partition's restaurants with words as contexts: numbers into names, each a word's name and last byte."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                own = Seating(row)
-                for k, g in enumerate(sent.value):
-                    own.sweep(g, k)
-                kinds, places, values = zip(*own.sums(), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(places, pa.int64()), pa.array(values, pa.float64())], names=["kind", "place", "value"])
-
-    found = {"t2": np.zeros(CONTEXTS), "t1": np.zeros(PARENTS), "c2": np.zeros(CONTEXTS), "t0": np.zeros(1), "v": np.zeros(1), "ones": np.zeros(3), "twos": np.zeros(3)}
-    rows = model.mapInArrow(run, "kind string, place long, value double").groupBy("kind", "place").agg(F.sum("value").alias("value"))
-    for r in rows.collect():
-        found[r.kind][r.place] = r.value
-    sent.unpersist()
-    if history:
-        discounts = history[0].discounts
-    else:
+    def __init__(self, part: int, fixed: bytes):
+        held = opened(fixed)
+        self.names = held["names"].astype(np.uint64)
+        u2 = held["contexts"].astype(np.int64)
+        parents = (self.names % np.uint64(PARENTS)).astype(np.int64)[u2]
+        self._open(part, np.arange(len(held["spans"])), held["spans"], u2, held["counts"].astype(np.int64), 32, parents)
+        # A dish with one customer has one table; only these can move, in these contexts.
+        self.many = np.flatnonzero(self.c2 > 1)
+        self.moving, self.at = np.unique(self.u2[self.many], return_inverse=True)
+
+    def restore(self, state: dict[str, np.ndarray]) -> None:
+        self.t2 = np.ones(len(self.c2), np.int64)
+        self.t2[self.many], self.t1, self.t0 = (state[k].astype(np.int64) for k in ("t2", "t1", "t0"))
+        self._raise()
+
+    def owners(self, contexts: np.ndarray, parts: int) -> np.ndarray:
+        return (self.names[contexts] >> np.uint64(8)).astype(np.int64) % parts
+
+    def up_rows(self, sweep: int, parts: int, contexts: np.ndarray, tables: np.ndarray) -> list[tuple]:
+        ranks = (self.names[contexts] >> np.uint64(8)).astype(np.int64) // parts - 1
+        return [("up", sweep, q, self.part, bundle(ranks=ranks[k], tables=tables[k])) for q, k in groups(self.owners(contexts, parts))]
+
+    def sums_row(self, sweep: int) -> tuple:
+        return "sums", sweep, self.part, self.part, pickle.dumps(list(self.upper_sums()))
+
+
+def owned(rows: list[dict], size: int = 0) -> np.ndarray:
+    """Tables of the contexts that a partition owns, by rank, from what the partitions sent."""
+    total = np.zeros(size, np.int64)
+    for row in rows:
+        got = opened(row["data"])
+        if len(got["ranks"]) and (most := int(got["ranks"].max()) + 1) > len(total):
+            total = np.concatenate([total, np.zeros(most - len(total), np.int64)])
+        total[got["ranks"]] += got["tables"]  # a partition names a context once
+    return total
+
+
+def replied(sent: pa.Table) -> pa.Table:
+    rows = sent.to_pylist()
+    total = owned(rows)
+    return rows_of([("down", r["sweep"], r["source"], r["part"], bundle(tables=total[opened(r["data"])["ranks"]])) for r in rows], ROWS)
+
+
+def sweeping(g: Totals, number: int, parts: int) -> Callable[[pa.Table], pa.Table]:
+    """One Gibbs sweep of a partition, given the totals after the sweep before."""
+
+    def run(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        own = Restaurants(rows[0]["part"], next(r["data"] for r in rows if r["kind"] == "fixed"))
+        asked = own.moving if number else np.arange(len(own.names))
+        got, places = np.zeros(len(asked), np.int64), dict(groups(own.owners(asked, parts)))
+        for r in rows:
+            if r["kind"] == "down":
+                got[places[r["source"]]] = opened(r["data"])["tables"]
+        if number:
+            # What goes up and down after the first time are the tables beyond one for each pair.
+            state = next(opened(r["data"]) for r in rows if r["kind"] == "state")
+            own.restore(state)
+            least, now = state["least"], state["least"] + got
+        else:
+            least = now = got[own.moving]
+        tables = np.zeros(len(own.names), np.int64)
+        tables[own.moving] = now
+        own.sweep(g.of(tables, tables), number)
+        state = bundle(t2=own.t2[own.many], t1=own.t1, t0=own.t0, least=least)
+        beyond = np.bincount(own.at, own.t2[own.many] - 1, len(own.moving)).astype(np.int64)
+        return rows_of([("state", number, own.part, own.part, state), own.sums_row(number), *own.up_rows(number, parts, own.moving, beyond)], ROWS)
+
+    return run
+
+
+def totals(rows: DataFrame, discounts: tuple[float, float, float] | None = None) -> Totals:
+    """Sums the totals above the contexts (some 500 numbers for each partition)."""
+    found = {"t1": np.zeros(PARENTS), "c1": np.zeros(PARENTS), "t0": np.zeros(1), "v": np.zeros(1), "ones": np.zeros(3), "twos": np.zeros(3)}
+    for r in rows.where("kind = 'sums'").select("part", "data").sort("part").toLocalIterator():
+        for kind, place, value in pickle.loads(r.data):
+            found[kind][place] += value
+    if discounts is None:
         ones, twos = found["ones"], found["twos"]
         discounts = tuple(float(x) for x in np.clip(ones / np.maximum(ones + 2 * twos, 1), *DISCOUNTS))
-    return Totals(int(found["v"][0]), discounts, found["c2"], found["t2"], found["t1"], float(found["t0"][0]))
+    none = np.zeros(0)
+    return Totals(int(found["v"][0]), discounts, none, none, found["t1"], float(found["t0"][0]), found["c1"])
+
+
+def sample(named: DataFrame, parts: int) -> tuple[DataFrame, list[Totals]]:
+    """Rows of the partitions (fixed, states and tables of the kept sweeps) and the totals after each kept sweep."""
+    spark = named.sparkSession
+    first = settle(requests(named, parts, training=True).groupBy("part").applyInArrow(merging(parts), ROW))
+    release(spark)
+    g, last, held, kept = totals(first), first, first.where("kind in ('fixed', 'up')"), []
+    for k in range(BURN_IN + KEPT):
+        down = last.where("kind = 'up'").groupBy("part").applyInArrow(replied, ROW)
+        group = first.where("kind = 'fixed'").unionByName(last.where("kind = 'state'")).unionByName(down)
+        last = settle(group.groupBy("part").applyInArrow(sweeping(g, k, parts), ROW))
+        del down, group
+        g = totals(last, g.discounts)
+        if k >= BURN_IN:
+            held = held.unionByName(last.where("kind in ('state', 'up')"))
+            kept.append(g)
+        release(spark)
+    return held, kept
 
 
 # --- answers --------------------------------------------------------------------------------------
@@ -339,35 +551,40 @@ def _taken(values: np.ndarray, at: np.ndarray, there: np.ndarray) -> np.ndarray:
     return np.where(there, values[at], 0) if len(values) else np.zeros(len(at), np.int64)
 
 
-def _answers(history: list[Totals], asked: pa.Table, models: pa.Table) -> pa.Table:
-    """For each block that asks: its words' training counts, and its pairs' averaged log10 probabilities."""
-    own = Seating(models.to_pylist()[0])
-    states = []
-    for k, g in enumerate(history[:-1]):
-        own.sweep(g, k)
-        if k >= BURN_IN:
-            states.append((history[k + 1], own.t2, own.c1, own.t1, own.c0, own.t0))
-    counted = np.bincount(own.word, own.c2, len(own.words)).astype(np.int64)
-    names, counts, scores = [], [], []
-    for block, words, spans, contexts in zip(*(asked[n].to_pylist() for n in ("block", "words", "spans", "contexts")), strict=True):
-        at0, there0 = _lookup(own.words, unpack(words, np.uint64))
-        w = np.repeat(np.arange(len(at0)), unpack(spans, np.uint32))
-        u2 = unpack(contexts, np.uint16).astype(np.int64)
-        u1 = u2 % PARENTS
-        known = there0[w]
-        at2, there2 = _lookup(own.keys2, np.where(known, (at0[w] << 16) | u2, -1))
-        at1, there1 = _lookup(own.keys1, np.where(known, (at0[w] << 8) | u1, -1))
-        c2 = _taken(own.c2, at2, there2)
-        total = np.zeros(len(w))
-        for g, t2, c1, t1, c0, t0 in states:
-            p0 = g.root(_taken(c0, at0, there0), _taken(t0, at0, there0))[w]
-            p1 = g.parent(u1, _taken(c1, at1, there1), _taken(t1, at1, there1), p0)
-            total += g.leaf(u2, c2, _taken(t2, at2, there2), p1)
-        names.append(block)
-        counts.append(pack(_taken(counted, at0, there0).astype(np.int64)))
-        scores.append(pack(np.log10(total / len(states)).astype(np.float32)))
-    part = asked["part"][0].as_py() if asked.num_rows else 0
-    return pa.table({"block": pa.array(names, pa.string()), "part": pa.array([part] * len(names), pa.int32()), "counts": pa.array(counts, pa.binary()), "scores": pa.array(scores, pa.binary())})
+#: What a block is told after each kept sweep of its words, its pairs of word and last byte, and its pairs.
+TOLD = {"words": ("c0", "t0", "above"), "pairs1": ("c1", "t1"), "pairs2": ("t2",)}
+
+
+def answering(parts: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """For each block that asks: customers and tables of its words, as dishes and as contexts, and of its pairs."""
+
+    def run(asked: pa.Table, held: pa.Table) -> pa.Table:
+        if not asked.num_rows or not held.num_rows:
+            return rows_of([], ASKED)
+        rows = held.to_pylist()
+        own = Restaurants(rows[0]["part"], next(r["data"] for r in rows if r["kind"] == "fixed"))
+        sent = lambda k: owned([r for r in rows if r["kind"] == "up" and r["sweep"] == k], len(own.words))
+        least, states = sent(-1), []
+        for k in range(BURN_IN, BURN_IN + KEPT):
+            own.restore(next(opened(r["data"]) for r in rows if r["kind"] == "state" and r["sweep"] == k))
+            states.append({"c0": own.c0, "t0": own.t0, "above": least + sent(k), "c1": own.c1, "t1": own.t1, "t2": own.t2})
+        out = []
+        for part, block, data in zip(*(asked[n].to_pylist() for n in ("part", "block", "data")), strict=True):
+            got = opened(data)
+            at0, contexts = got["words"].astype(np.int64) // parts - 1, got["contexts"].astype(np.uint64)
+            word = np.repeat(np.arange(len(at0)), got["spans"])
+            u, there = _lookup(own.names, contexts)
+            keys1 = np.unique((word << 8) | (contexts % np.uint64(PARENTS)).astype(np.int64))
+            found = {
+                "words": (at0, np.ones(len(at0), bool)),
+                "pairs1": _lookup(own.keys1, (at0[keys1 >> 8] << 8) | (keys1 % PARENTS)),
+                "pairs2": _lookup(own.keys2, np.where(there, (at0[word] << 32) | u, -1)),
+            }
+            told = {name: np.concatenate([_taken(s[name], *found[level]) for s in states]) for level, names in TOLD.items() for name in names}
+            out.append((part, block, bundle(c2=_taken(own.c2, *found["pairs2"]), **told)))
+        return rows_of(out, ASKED)
+
+    return run
 
 
 def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS, part_tokens: int = PART_TOKENS) -> DataFrame:
@@ -376,39 +593,46 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     tokens, training = made.agg(F.sum("tokens"), F.sum("training")).first()
     training = int(training or 0)
     parts = max(2, math.ceil((tokens or 0) / part_tokens))
-    asked = requests(made, parts)
-    model = settle(asked.groupBy("part").applyInArrow(_merged, MODEL))
-    history: list[Totals] = []
-    for _ in range(BURN_IN + KEPT + 1):
-        history.append(_totals(model, history))
-    sent = docs.sparkSession.sparkContext.broadcast(history)
-    answered = asked.groupBy("part").cogroup(model.groupBy("part")).applyInArrow(lambda a, m: _answers(sent.value, a, m), "block string, part int, counts binary, scores binary")
     kind = made.schema["ids"].dataType.elementType.simpleString()
-    v = history[-1].v
+    named = numbered(made, parts)
+    del made
+    release(docs.sparkSession)
+    held, kept = sample(named, parts)
+    answered = requests(named, parts, training=False).groupBy("part").cogroup(held.groupBy("part")).applyInArrow(answering(parts), ASK)
+    v = kept[-1].v
 
     def finish(block: pa.Table, answers: pa.Table) -> pa.Table:
         row = block.to_pylist()[0]
-        p = Pairs(row)
-        got = sorted(answers.to_pylist(), key=lambda r: r["part"])
-        counts = np.concatenate([unpack(r["counts"], np.int64) for r in got])
-        scores = np.concatenate([unpack(r["scores"], np.float32) for r in got]).astype(float)
-        starts = np.concatenate([[0], np.cumsum(p.lengths)[:-1]])
-        c = counts[p.numbers]
-        add = lambda x: np.add.reduceat(x, starts)
-        base = add(np.log10((c + 1) / (training + v + 1)))
-        total = add(scores[p.place])
+        p = Pairs(row, parts)
+        sizes = {"words": len(p.words), "pairs1": len(p.keys1), "pairs2": len(p.word)}
+        told = {name: np.zeros((KEPT, sizes[level]), np.int64) for level, names in TOLD.items() for name in names}
+        c2 = np.zeros(len(p.word), np.int64)
+        got = {r["part"]: r["data"] for r in answers.to_pylist()}
+        for r, *own in p.parts():
+            data = opened(got[r])
+            c2[own[2]] = data["c2"]
+            for places, names in zip(own, TOLD.values(), strict=True):
+                for name in names:
+                    told[name][:, places] = data[name].reshape(KEPT, -1)
+        total = np.zeros(len(p.word))
+        for k, g in enumerate(kept):
+            now = {name: x[k] for name, x in told.items()}
+            own = g.of(p.counts, now["above"])
+            p0 = own.root(now["c0"], now["t0"])
+            p1 = own.parent(p.keys1 % PARENTS, now["c1"], now["t1"], p0[p.keys1 >> 8])
+            total += own.leaf(p.context, c2, now["t2"], p1[p.up1])
+        total = np.add.reduceat(np.log10(total / KEPT)[p.place], p.starts)
         return pa.table(
             {
                 id_col: pa.array(row["ids"], block.schema.field("ids").type.value_type),
                 "n_tokens": pa.array(p.lengths, pa.int64()),
-                "n_known": pa.array(add((c > 0).astype(np.int64)), pa.int64()),
-                "train_tokens": pa.array([training] * len(starts), pa.int64()),
-                "base_score": pa.array(base, pa.float64()),
+                "n_known": pa.array(row["known"], pa.int64()),
+                "train_tokens": pa.array([training] * len(p.lengths), pa.int64()),
+                "base_score": pa.array(np.array(row["logs"]) - p.lengths * math.log10(training + v + 1), pa.float64()),
                 "score": pa.array(total, pa.float64()),
                 "perplexity": pa.array(10 ** np.minimum(-total / p.lengths, 300), pa.float64()),
             }
         )
 
-    whole = made.select("block", "ids", "learn", "lengths", "vocabulary", "numbers", "contexts")
     schema = f"`{id_col}` {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
-    return whole.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(finish, schema)
+    return named.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(finish, schema)

@@ -117,3 +117,33 @@ def test_edges(spark):
     assert lm.score(docs(spark, []), F.lit(True)).count() == 0
     none = lm.score(docs(spark, [(1, "a b"), (1, "a b"), (None, "c")]), F.lit(None).cast("boolean")).collect()
     assert [(r.n_known, r.train_tokens, r.base_score) for r in none] == [(0, 0, 0.0)] * 3
+
+
+def test_a_context_is_the_whole_word_before(spark):
+    """Two words with the same last bytes are followed by different words."""
+    train = [(2 * i, f"{'xaab red' if i % 2 else 'yaab blue'} {'one' if i % 3 else 'two'}") for i in range(200)]
+    held = [(1, "xaab red"), (3, "xaab blue"), (5, "yaab blue"), (7, "yaab red")]
+    got = {r.doc_id: r.score for r in lm.score(docs(spark, train + held), F.col("doc_id") % 2 == 0, block_chars=500, part_tokens=200).collect()}
+    assert got[1] - got[3] > 1 and got[5] - got[7] > 1
+
+
+def test_scores_of_all_continuations_sum_to_one(spark):
+    """Through blocks and partitions: bigrams of all words, an unknown one and the end have a matrix whose greatest eigenvalue is 1."""
+    rng = random.Random(4)
+    words = [f"{a}{b}" for a in "abcd" for b in "xyz"]
+    train = [(2 * i, " ".join(rng.choices(words, weights=range(1, 13), k=rng.randint(0, 9)))) for i in range(150)]
+    seen = sorted({w for _, t in train for w in t.split()})
+    every = [*seen, "unknown"]
+    texts = ["", *every, *(f"{a} {b}" for a in every for b in every)]
+    rows = train + [(2 * i + 1, t) for i, t in enumerate(texts)]
+    out = lm.score(docs(spark, rows), F.col("doc_id") % 2 == 0, block_chars=700, part_tokens=300).collect()
+    score = {texts[r.doc_id // 2]: r.score for r in out if r.doc_id % 2}
+    # A text's score has the step to its end; with the steps to the end as the scale, only differences remain.
+    n = len(every)
+    steps = np.ones((n + 1, n + 1))
+    steps[0, 0] = 10 ** score[""]
+    for i, a in enumerate(every, 1):
+        steps[0, i] = 10 ** score[a]
+        for j, b in enumerate(every, 1):
+            steps[i, j] = 10 ** (score[f"{a} {b}"] - score[a])
+    assert math.isclose(max(abs(np.linalg.eigvals(steps))), 1, rel_tol=1e-6)
