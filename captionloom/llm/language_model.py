@@ -271,17 +271,23 @@ def merging(parts: int) -> Callable[[pa.Table], pa.Table]:
 
         def fold() -> None:
             nonlocal word, context, counts, held
-            w, u, c = (np.concatenate(x) for x in zip((word, context, counts), *pending, strict=True))
+            # Old arrays go as soon as they can: a very common word's partition holds many pairs.
+            pending.append((word, context, counts))
+            word, context, counts = (np.concatenate(x) for x in zip(*pending, strict=True))
             pending.clear()
-            names, u = np.unique(u, return_inverse=True)
-            w = (w << 32) | u
-            del u
-            w, back = np.unique(w, return_inverse=True)
-            word, context, counts = w >> 32, names[w & 0xFFFFFFFF], np.bincount(back, c, len(w)).astype(np.int64)
+            names, at = np.unique(context, return_inverse=True)
+            word <<= 32
+            word |= at
+            del at
+            word, back = np.unique(word, return_inverse=True)
+            counts = np.bincount(back, counts, len(word)).astype(np.int64)
+            del back
+            context = names[word & 0xFFFFFFFF]
+            word >>= 32
             held = 0
 
-        for data in asked["data"].to_pylist():
-            got = opened(data)
+        for data in asked["data"]:
+            got = opened(data.as_py())
             ranks = got["words"].astype(np.int64) // parts - 1
             pending.append((np.repeat(ranks, got["spans"]), got["contexts"].astype(np.uint64), got["counts"].astype(np.int64)))
             held += len(got["contexts"])
@@ -292,11 +298,12 @@ def merging(parts: int) -> Callable[[pa.Table], pa.Table]:
             return rows_of([], ROWS)
         names, at = np.unique(context, return_inverse=True)
         # Each training word is some training token, so the ranks have no gaps.
+        spread = np.bincount(at, minlength=len(names))
         fixed = bundle(spans=np.bincount(word), contexts=at, counts=counts, names=names)
-        del word, context, counts
+        del word, context, counts, at
         own = Restaurants(part, fixed)
         rows = [("fixed", -1, part, part, fixed), own.sums_row(-1)]
-        rows += own.up_rows(-1, parts, np.arange(len(names)), np.bincount(at, minlength=len(names)))
+        rows += own.up_rows(-1, parts, np.arange(len(names)), spread)
         return rows_of(rows, ROWS)
 
     return run
@@ -386,28 +393,42 @@ class Seating:
 
     def _open(self, part: int, words: np.ndarray, spans: np.ndarray, contexts: np.ndarray, counts: np.ndarray, bits: int, parents: np.ndarray) -> None:
         """bits: of a context's number; parents: of each pair."""
-        self.part, self.words, self.u2, self.c2 = part, words, contexts, counts
-        self.word = np.repeat(np.arange(len(words)), spans)
-        self.keys2 = (self.word << bits) | self.u2
-        self.keys1, self.up1 = np.unique((self.word << 8) | parents, return_inverse=True)
+        self.part, self.words, self.spans, self.u2, self.c2, self.bits = part, words, spans, contexts, counts, bits
+        self.keys1, up1 = np.unique((self.places() << 8) | parents, return_inverse=True)
+        self.up1 = up1.astype(np.min_scalar_type(len(up1)))
         self.up0, self.u1 = self.keys1 >> 8, self.keys1 % PARENTS
-        self.t2 = np.ones(len(self.c2), np.int64)
+        # A dish with one customer has one table; only the others can move.
+        self.many = np.flatnonzero(self.c2 > 1)
+        self.t2 = np.ones(len(self.c2), np.int32)
         self.t1 = np.ones(len(self.keys1), np.int64)
         self.t0 = np.ones(len(self.words), np.int64)
         self._raise()
 
+    def places(self) -> np.ndarray:
+        """Each pair's word."""
+        return np.repeat(np.arange(len(self.words)), self.spans)
+
+    @property
+    def keys2(self) -> np.ndarray:
+        return (self.places() << self.bits) | self.u2
+
     def _raise(self) -> None:
-        self.c1 = np.bincount(self.up1, self.t2, len(self.keys1)).astype(np.int64)
+        self._raise1()
         self.c0 = np.bincount(self.up0, self.t1, len(self.words)).astype(np.int64)
 
+    def _raise1(self) -> None:
+        beyond = np.bincount(self.up1[self.many], self.t2[self.many] - 1, len(self.keys1))
+        self.c1 = np.bincount(self.up1, minlength=len(self.keys1)) + beyond.astype(np.int64)
+
     def sweep(self, g: Totals, number: int) -> None:
         """One Gibbs sweep, given the totals after the sweep before; the same whenever it is run again."""
         rng = np.random.default_rng([20_06, self.part, number])
         d0, d1, d2 = g.discounts
         p0 = g.root(self.c0, self.t0)
         p1 = g.parent(self.u1, self.c1, self.t1, p0[self.up0])
-        self.t2 = seat(self.c2, (STRENGTH + d2 * g.t2[self.u2]) * p1[self.up1], d2, rng)
-        self.c1 = np.bincount(self.up1, self.t2, len(self.keys1)).astype(np.int64)
+        k = self.many
+        self.t2[k] = seat(self.c2[k].astype(np.int64), (STRENGTH + d2 * g.t2[self.u2[k]]) * p1[self.up1[k]], d2, rng)
+        self._raise1()
         self.t1 = seat(self.c1, (STRENGTH + d1 * g.t1[self.u1]) * p0[self.up0], d1, rng)
         self.c0 = np.bincount(self.up0, self.t1, len(self.words)).astype(np.int64)
         self.t0 = seat(self.c0, np.full(len(self.words), (STRENGTH + d0 * g.t0) / (g.v + 1)), d0, rng)
@@ -438,15 +459,12 @@ class Restaurants(Seating):
     def __init__(self, part: int, fixed: bytes):
         held = opened(fixed)
         self.names = held["names"].astype(np.uint64)
-        u2 = held["contexts"].astype(np.int64)
-        parents = (self.names % np.uint64(PARENTS)).astype(np.int64)[u2]
-        self._open(part, np.arange(len(held["spans"])), held["spans"], u2, held["counts"].astype(np.int64), 32, parents)
-        # A dish with one customer has one table; only these can move, in these contexts.
-        self.many = np.flatnonzero(self.c2 > 1)
+        parents = (self.names % np.uint64(PARENTS)).astype(np.uint8)[held["contexts"]]
+        self._open(part, np.arange(len(held["spans"])), held["spans"], held["contexts"], held["counts"], 32, parents)
         self.moving, self.at = np.unique(self.u2[self.many], return_inverse=True)
 
     def restore(self, state: dict[str, np.ndarray]) -> None:
-        self.t2 = np.ones(len(self.c2), np.int64)
+        self.t2 = np.ones(len(self.c2), np.int32)
         self.t2[self.many], self.t1, self.t0 = (state[k].astype(np.int64) for k in ("t2", "t1", "t0"))
         self._raise()
 
@@ -563,14 +581,15 @@ def answering(parts: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
             return rows_of([], ASKED)
         rows = held.to_pylist()
         own = Restaurants(rows[0]["part"], next(r["data"] for r in rows if r["kind"] == "fixed"))
+        keys2 = own.keys2
         sent = lambda k: owned([r for r in rows if r["kind"] == "up" and r["sweep"] == k], len(own.words))
         least, states = sent(-1), []
         for k in range(BURN_IN, BURN_IN + KEPT):
             own.restore(next(opened(r["data"]) for r in rows if r["kind"] == "state" and r["sweep"] == k))
             states.append({"c0": own.c0, "t0": own.t0, "above": least + sent(k), "c1": own.c1, "t1": own.t1, "t2": own.t2})
         out = []
-        for part, block, data in zip(*(asked[n].to_pylist() for n in ("part", "block", "data")), strict=True):
-            got = opened(data)
+        for part, block, data in zip(*(asked[n] for n in ("part", "block", "data")), strict=True):
+            got = opened(data.as_py())
             at0, contexts = got["words"].astype(np.int64) // parts - 1, got["contexts"].astype(np.uint64)
             word = np.repeat(np.arange(len(at0)), got["spans"])
             u, there = _lookup(own.names, contexts)
@@ -578,10 +597,10 @@ def answering(parts: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
             found = {
                 "words": (at0, np.ones(len(at0), bool)),
                 "pairs1": _lookup(own.keys1, (at0[keys1 >> 8] << 8) | (keys1 % PARENTS)),
-                "pairs2": _lookup(own.keys2, np.where(there, (at0[word] << 32) | u, -1)),
+                "pairs2": _lookup(keys2, np.where(there, (at0[word] << 32) | u, -1)),
             }
             told = {name: np.concatenate([_taken(s[name], *found[level]) for s in states]) for level, names in TOLD.items() for name in names}
-            out.append((part, block, bundle(c2=_taken(own.c2, *found["pairs2"]), **told)))
+            out.append((part.as_py(), block.as_py(), bundle(c2=_taken(own.c2, *found["pairs2"]), **told)))
         return rows_of(out, ASKED)
 
     return run
